@@ -9,6 +9,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # ASCII punctuation (Python ``string.punctuation``), in order.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -97,7 +98,7 @@ def era_year(col: str | Column) -> Column:
     return F.regexp_replace(F.trim(_c(col)), r"(\d+)\s*BC", "-$1").try_cast("int")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _fold(s: pd.Series) -> pd.Series:
     allowed = set(ALLOWED_LETTERS)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -115,7 +116,7 @@ def transpose_row(df: DataFrame, cols: Sequence[str], suffix: str = "",
     long = df.select(*ids, *[F.col(c).cast("string").alias(c) for c in cols]).unpivot(
         list(ids), list(cols), name, value)
     if suffix:
-        long = long.withColumn(name, F.regexp_replace(name, F.lit(suffix) + F.lit("$"), ""))
+        long = long.withColumn(name, F.regexp_replace(name, re.escape(suffix) + "$", ""))
     return long.where(F.col(value).isNotNull())
 
 
