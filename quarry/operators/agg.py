@@ -45,6 +45,14 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = QUART
                                      F.col("_i") + 1).alias("prob"), "value"))
     keys = [*by, "col_name"]
     counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_cnt"))
+    return quantiles_from_counts(counts, keys, probs)
+
+
+def quantiles_from_counts(counts: DataFrame, keys: Sequence[str],
+                          probs: Sequence[float] = QUARTILES) -> DataFrame:
+    """Exact type-7 quantiles from a (keys..., value, _cnt) table with unique
+    (keys, value): returns (keys..., prob, value)."""
+    keys = list(keys)
     idx = row_index(counts, [*keys, "value"], weight="_cnt")
     # one row per (group, column): start rank in the global order and size
     info = idx.groupBy(*keys).agg(F.min("_rid").alias("_start"), F.sum("_cnt").alias("_n"))
