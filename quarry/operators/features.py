@@ -121,12 +121,13 @@ def char_ngrams(df: DataFrame, key: Sequence[str], text: str | Column, n: int =
                 name: str = "gram") -> DataFrame:
     """Counts of every character n-gram of each whole string: (key..., gram, count)."""
     s = F.col(text) if isinstance(text, str) else text
-    # split once into characters: indexing an array is O(1), while substring
-    # on a long UTF-8 string scans from its start each time
-    chars = F.filter(F.split(s, ""), lambda c: c != "")
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(chars) - n + 1, F.lit(1))),
-                      lambda i: i + n - 1 <= F.size(chars))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(chars, i, n), ""))
+    # n shifted slices of the character array zipped side by side: every
+    # array expression is evaluated once per row, never inside a lambda
+    # (a lambda that refers to the split would redo it for each element)
+    chars = F.split(s, "")
+    m = F.greatest(F.size(chars) - n + 1, F.lit(0))
+    zipped = F.arrays_zip(*[F.slice(chars, k + 1, m).alias(f"c{k}") for k in range(n)])
+    grams = F.transform(zipped, lambda z: F.concat(*[z[f"c{k}"] for k in range(n)]))
     return (df.select(*key, F.explode(grams).alias(name))
             .groupBy(*key, name).agg(F.count(F.lit(1)).alias("count")))
 

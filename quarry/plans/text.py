@@ -221,9 +221,11 @@ def numericalise_documents(spark, sf):
 
 
 @register("char_ngrams_by_language", """
-SELECT lang, substring(text, i, 3) AS gram, count(*) AS count
-FROM documents, range(1, greatest(length(text) - 3 + 1, 0) + 1) r(i)
-GROUP BY ALL
+WITH ch AS (SELECT doc_id, lang, unnest(string_split(text, '')) AS c,
+                   generate_subscripts(string_split(text, ''), 1) AS i FROM documents),
+g AS (SELECT lang, c || lead(c, 1) OVER w || lead(c, 2) OVER w AS gram
+      FROM ch WINDOW w AS (PARTITION BY doc_id ORDER BY i))
+SELECT lang, gram, count(*) AS count FROM g WHERE gram IS NOT NULL GROUP BY ALL
 """)
 def char_ngrams_by_language(spark, sf):
     d = table(spark, sf, "documents")
@@ -244,8 +246,10 @@ def class_weights_quality(spark, sf):
 
 _GRAMS_SQL = f"""
 d AS (SELECT doc_id, lang, {_DOC_SPLIT} AS part, text FROM documents),
-gr AS (SELECT doc_id, lang, part, substring(text, i, 3) AS term FROM d,
-       range(1, greatest(length(text) - 3 + 1, 0) + 1) r(i)),
+ch AS (SELECT doc_id, lang, part, unnest(string_split(text, '')) AS c,
+              generate_subscripts(string_split(text, ''), 1) AS i FROM d),
+gr AS (SELECT * FROM (SELECT doc_id, lang, part, c || lead(c, 1) OVER w || lead(c, 2) OVER w AS term
+                      FROM ch WINDOW w AS (PARTITION BY doc_id ORDER BY i)) WHERE term IS NOT NULL),
 tw AS (SELECT doc_id, lang, part, term, CAST(count(*) AS DOUBLE) AS weight FROM gr GROUP BY ALL),
 train AS (SELECT * FROM tw WHERE part = 'train'),
 vocab AS (SELECT DISTINCT term FROM train),
