@@ -216,7 +216,7 @@ def boosted_trees_grid(train: DataFrame, test: DataFrame, label: str, settings:
 
 
 def cross_validate(estimator, grid: dict, evaluator, df: DataFrame, fold_col: str,
-                   parallelism: int = 2):
+                   k: int | None = None, parallelism: int = 2):
     """Grid x folds with the folds given as a column; the grid is built on
     the estimator that is passed (so it cannot silently miss), every grid
     point's mean metric is returned with the best model.
@@ -228,8 +228,10 @@ def cross_validate(estimator, grid: dict, evaluator, df: DataFrame, fold_col: st
     for name, values in grid.items():
         b = b.addGrid(estimator.getParam(name), list(values))
     maps = b.build()
+    if k is None:  # folds are 0 .. k-1; one scalar aggregate
+        k = int(df.agg(F.max(fold_col)).scalar()) + 1
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=maps, evaluator=evaluator,
-                        foldCol=fold_col, parallelism=parallelism)
+                        foldCol=fold_col, numFolds=k, parallelism=parallelism)
     model = cv.fit(df)
     points = [({p.name: v for p, v in m.items()}, float(score)) for m, score in zip(maps, model.avgMetrics)]
     return model, points

@@ -17,22 +17,25 @@ from pyspark.sql import functions as F
 
 
 SIG = "sig"  # round to 9 significant digits instead of fixed places
+SIG6 = "sig6"  # 6 significant digits: values from a matrix solve or an iterative fit
 
 
 def _spark_round(c: str, d) -> "F.Column":
     # the same IEEE steps as the SQL side (scale, round half away from zero, unscale)
     x = F.col(c)
-    if d == SIG:
+    if d in (SIG, SIG6):
+        k = 1e8 if d == SIG else 1e5
         e = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(x))))
         return F.when(x == 0, F.lit(0.0)).otherwise(
-            F.round(x / e * F.lit(1e8), 0) / F.lit(1e8) * e).alias(c)
+            F.round(x / e * F.lit(k), 0) / F.lit(k) * e).alias(c)
     return (F.round(x * F.lit(float(10 ** d)), 0) / F.lit(float(10 ** d))).alias(c)
 
 
 def _sql_round(c: str, d) -> str:
-    if d == SIG:
+    if d in (SIG, SIG6):
+        k = "1e8" if d == SIG else "1e5"
         e = f"pow(10.0, floor(log10(abs({c}))))"
-        return f"CASE WHEN {c} = 0 THEN 0.0 ELSE round({c} / {e} * 1e8) / 1e8 * {e} END AS {c}"
+        return f"CASE WHEN {c} = 0 THEN 0.0 ELSE round({c} / {e} * {k}) / {k} * {e} END AS {c}"
     return f"round({c} * {float(10 ** d)}) / {float(10 ** d)} AS {c}"
 
 
