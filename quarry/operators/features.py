@@ -154,9 +154,10 @@ def min_max_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None =
     src = fit_on if fit_on is not None else df
     stats = src.agg(*[F.min(F.col(c).cast("double")).alias(f"{c}__min") for c in cols],
                     *[F.max(F.col(c).cast("double")).alias(f"{c}__max") for c in cols])
+    row = stats.first()  # one aggregate job for every bound
     out = df
     for c in cols:
-        lo, hi = stats.select(f"{c}__min").scalar(), stats.select(f"{c}__max").scalar()
+        lo, hi = F.lit(row[f"{c}__min"]), F.lit(row[f"{c}__max"])
         scaled = F.when(hi == lo, F.lit(0.0)).otherwise((F.col(c).cast("double") - lo) / (hi - lo))
         out = out.withColumn(c + suffix, scaled)
     return out
@@ -168,9 +169,10 @@ def standardise(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = N
     src = fit_on if fit_on is not None else df
     stats = src.agg(*[F.avg(F.col(c).cast("double")).alias(f"{c}__mu") for c in cols],
                     *[F.stddev_pop(F.col(c).cast("double")).alias(f"{c}__sd") for c in cols])
+    row = stats.first()
     out = df
     for c in cols:
-        mu, sd = stats.select(f"{c}__mu").scalar(), stats.select(f"{c}__sd").scalar()
+        mu, sd = F.lit(row[f"{c}__mu"]), F.lit(row[f"{c}__sd"])
         out = out.withColumn(c + suffix, F.try_divide(F.col(c).cast("double") - mu,
                                                        F.when(sd != 0, sd)))
     return out
@@ -179,8 +181,9 @@ def standardise(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = N
 def max_scale(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
     """Divide by the column's maximum absolute value."""
     stats = df.agg(*[F.max(F.abs(F.col(c).cast("double"))).alias(f"{c}__m") for c in cols])
+    row = stats.first()
     out = df
     for c in cols:
-        m = stats.select(f"{c}__m").scalar()
+        m = F.lit(row[f"{c}__m"])
         out = out.withColumn(c + suffix, F.try_divide(F.col(c).cast("double"), F.when(m != 0, m)))
     return out

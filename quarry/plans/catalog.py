@@ -1,4 +1,4 @@
 """Imports every plan module so that their queries register themselves."""
 
-from quarry.plans import aggregates, evaluation, models, sequences, tabular, text  # noqa: F401
+from quarry.plans import aggregates, evaluation, models, prep, sequences, tabular, text  # noqa: F401
 from quarry.plans.registry import REGISTRY  # noqa: F401
