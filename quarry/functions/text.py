@@ -68,8 +68,8 @@ def split_words(col: str | Column) -> Column:
 
 def remove_stopwords(col: str | Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
     """drop words whose lower case is a stop word; rejoin with one space."""
-    stop = F.array(*[F.lit(w) for w in stop_words])
-    kept = F.filter(split_words(col), lambda w: ~F.array_contains(stop, F.lower(w)))
+    stop = list(stop_words)  # IN over literals is planned as a hash-set lookup
+    kept = F.filter(split_words(col), lambda w: ~F.lower(w).isin(stop))
     return F.array_join(kept, " ")
 
 

@@ -229,8 +229,7 @@ SELECT lang, gram, count(*) AS count FROM g WHERE gram IS NOT NULL GROUP BY ALL
 """)
 def char_ngrams_by_language(spark, sf):
     d = table(spark, sf, "documents")
-    per_doc = X.char_ngrams(d, ["doc_id", "lang"], "text", 3)
-    return per_doc.groupBy("lang", "gram").agg(F.sum("count").alias("count"))
+    return X.char_ngrams(d, ["lang"], "text", 3)
 
 
 @register("class_weights_quality", """
