@@ -125,23 +125,27 @@ def _gram_counter(key: list[str], n: int, name: str):
 
         import pandas as pd
         for pdf in batches:
-            # one Counter per Arrow batch over (key values, gram): a partial
-            # aggregate before the shuffle
-            c: collections.Counter = collections.Counter()
+            # one Counter per distinct key inside the Arrow batch: a partial
+            # aggregate before the shuffle (per document, or per language, ...)
+            per_key: dict = collections.defaultdict(collections.Counter)
             keyvals = list(zip(*[pdf[k].tolist() for k in key])) if key else [()] * len(pdf)
             for kv, s in zip(keyvals, pdf["_t"].tolist()):
                 if s is None or len(s) < n:
                     continue
-                c.update((kv, s[i:i + n]) for i in range(len(s) - n + 1))
-            items = list(c.items())
-            cols = {k: [kv[j] for (kv, _), _ in items] for j, k in enumerate(key)}
-            yield pd.DataFrame({**cols, name: [g for (_, g), _ in items],
-                                "count": pd.Series([v for _, v in items], dtype="int64")})
+                per_key[kv].update(s[i:i + n] for i in range(len(s) - n + 1))
+            cols = {k: [] for k in key}
+            grams, counts = [], []
+            for kv, c in per_key.items():
+                grams.extend(c.keys())
+                counts.extend(c.values())
+                for j, k in enumerate(key):
+                    cols[k].extend([kv[j]] * len(c))
+            yield pd.DataFrame({**cols, name: grams, "count": pd.Series(counts, dtype="int64")})
     return count
 
 
 def char_ngrams(df: DataFrame, key: Sequence[str], text: str | Column, n: int = 3,
-                name: str = "gram") -> DataFrame:
+                name: str = "gram", unique_rows: bool = False) -> DataFrame:
     """Counts of every character n-gram of each whole string: (key..., gram, count).
 
     Each task counts the n-grams of its own rows in Python (whole strings,
@@ -156,6 +160,8 @@ def char_ngrams(df: DataFrame, key: Sequence[str], text: str | Column, n: int =
     schema = StructType([*[StructField(f.name, f.dataType, f.nullable) for f in fields],
                          StructField(name, StringType(), False), StructField("count", LongType(), False)])
     per_row = src.mapInPandas(_gram_counter(key, n, name), schema)
+    if unique_rows:  # caller guarantees one input row per key: counts are final, no shuffle
+        return per_row
     return per_row.groupBy(*key, name).agg(F.sum("count").cast("long").alias("count"))
 
 

@@ -12,6 +12,7 @@ from quarry.operators.evaluate import perplexity
 from quarry.plans.registry import SIG, register
 from quarry.plans.sqlhelp import sql_hash_unit
 from quarry.session import table
+from quarry.sources.files import scratch_path
 
 
 def _sql_str_list(words) -> str:
@@ -271,8 +272,14 @@ lp AS (SELECT doc_id, label, score,
 
 def _lang_scores(spark, sf):
     d = split_documents(spark, sf)
-    grams = X.char_ngrams(d, ["doc_id", "lang", "part"], "text", 3, name="term")
-    tw = grams.select("doc_id", "lang", "part", "term", F.col("count").cast("double").alias("weight"))
+    # doc_id is the documents table's key: one row per document
+    grams = X.char_ngrams(d, ["doc_id", "lang", "part"], "text", 3, name="term", unique_rows=True)
+    # the model and the scoring read these counts about ten times: write them
+    # once to the shared checkpoint folder instead of recounting every time
+    path = scratch_path(spark, "lang-grams")
+    grams.select("doc_id", "lang", "part", "term", F.col("count").cast("double").alias("weight")) \
+        .write.parquet(path)
+    tw = spark.read.parquet(path)
     model = multinomial_nb_fit(tw.where("part = 'train'"), "doc_id", "lang", alpha=1.0)
     return multinomial_nb_scores(model, tw.where("part = 'test'"), "doc_id")
 
