@@ -43,9 +43,11 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = QUART
                 .select(*by, "col_name",
                         F.element_at(F.array(*[F.lit(float(p)) for p in probs]),
                                      F.col("_i") + 1).alias("prob"), "value"))
+    from quarry.sources.files import materialize
     keys = [*by, "col_name"]
     counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_cnt"))
-    return quantiles_from_counts(counts, keys, probs)
+    # value counts are read by several jobs of the ordering; scan the table once
+    return quantiles_from_counts(materialize(counts, "value-counts"), keys, probs)
 
 
 def quantiles_from_counts(counts: DataFrame, keys: Sequence[str],

@@ -99,10 +99,13 @@ def vocabulary(tokens: DataFrame, token: str = "token", specials: Sequence[str]
     Returns (token, id, n); ``<unk>`` (the first special) is id 0 and the
     default for unknown tokens.
     """
+    from quarry.sources.files import materialize
     counts = (tokens.groupBy(F.col(token).alias("token")).agg(F.count(F.lit(1)).alias("n"))
               .where(F.col("n") >= min_freq)
               .where(~F.col("token").isin(list(specials)))
               .withColumn("_negn", -F.col("n")))
+    # the ordering reads the counts four times; tokenize the corpus once
+    counts = materialize(counts, "vocab-counts")
     ranked = row_index(counts, ["_negn", "token"], name="_i")
     words = ranked.select("token", (F.col("_i") + len(specials)).alias("id"), "n")
     spark = tokens.sparkSession

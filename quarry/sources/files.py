@@ -86,3 +86,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     from quarry.session import ensure_checkpoint_dir
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/quarry-io/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read
+    it back: downstream jobs that read it several times (boundary sampling,
+    windows, per-bucket sizes) then share one computation, and a lost
+    executor re-reads files instead of recomputing the lineage."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
