@@ -10,6 +10,8 @@ checked by rows here and by closed forms in ``tests/test_models.py``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -252,7 +254,24 @@ def fit_normal_events(spark, sf):
     return S.fit_normal(ev, "value", ["bucket"])
 
 
-@register("ks_statistic_events")
+def _sql_norm_cdf(x: str) -> str:
+    """DuckDB twin of :func:`quarry.operators.stats.norm_cdf` (same steps, same constants)."""
+    z = f"(-({x}) / {math.sqrt(2.0)!r})"
+    t = f"(1.0 / (1.0 + 0.5 * abs({z})))"
+    poly = repr(S.ERFC_COEFFS[-1])
+    for c in reversed(S.ERFC_COEFFS[:-1]):
+        poly = f"({c!r} + {t} * {poly})"
+    ans = f"({t} * exp(-{z} * {z} + {poly}))"
+    return f"(0.5 * CASE WHEN {z} >= 0 THEN {ans} ELSE 2.0 - {ans} END)"
+
+
+@register("ks_statistic_events", f"""
+WITH b AS (SELECT CAST(value AS DOUBLE) AS x, event_id AS k FROM events WHERE value IS NOT NULL),
+f AS (SELECT avg(x) AS m, stddev_pop(x) AS s, count(*) AS n FROM b),
+r AS (SELECT x, row_number() OVER (ORDER BY x, k) - 1 AS i FROM b),
+c AS (SELECT i, n, {_sql_norm_cdf("(x - m) / s")} AS cdf FROM r, f)
+SELECT max(n) AS n, max(greatest((i + 1) / n - cdf, cdf - i / n)) AS d FROM c
+""", {"d": SIG6})
 def ks_statistic_events(spark, sf):
     return S.ks_statistic(table(spark, sf, "events"), "value", "event_id")
 
