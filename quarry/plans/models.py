@@ -284,7 +284,39 @@ def ks_test_spark_events(spark, sf):
     return spark.createDataFrame([(d, p)], "statistic double, p_value double")
 
 
-@register("shapiro_francia_events")
+def _sql_horner(coeffs, x: str) -> str:
+    acc = repr(coeffs[0])
+    for c in coeffs[1:]:
+        acc = f"({acc} * {x} + {c!r})"
+    return acc
+
+
+def _sql_norm_ppf(p: str) -> str:
+    """DuckDB twin of :func:`quarry.operators.stats.norm_ppf`."""
+    q = f"({p} - 0.5)"
+    r = f"({q} * {q})"
+    central = f"({_sql_horner(S.ACKLAM_A, r)} * {q} / ({_sql_horner(S.ACKLAM_B, r)} * {r} + 1.0))"
+    ql = f"sqrt(-2.0 * ln({p}))"
+    low = f"({_sql_horner(S.ACKLAM_C, ql)} / ({_sql_horner(S.ACKLAM_D, ql)} * {ql} + 1.0))"
+    qh = f"sqrt(-2.0 * ln(1.0 - {p}))"
+    high = f"(-{_sql_horner(S.ACKLAM_C, qh)} / ({_sql_horner(S.ACKLAM_D, qh)} * {qh} + 1.0))"
+    return (f"(CASE WHEN {p} < {S.ACKLAM_LOW!r} THEN {low} WHEN {p} > {1 - S.ACKLAM_LOW!r} THEN {high} "
+            f"ELSE {central} END)")
+
+
+@register("shapiro_francia_events", f"""
+WITH b AS (SELECT user_id % 10 AS bucket, CAST(value AS DOUBLE) AS x, event_id AS k FROM events
+           WHERE value IS NOT NULL),
+r AS (SELECT bucket, x, row_number() OVER (PARTITION BY bucket ORDER BY x, k) - 1 AS i,
+             count(*) OVER (PARTITION BY bucket) AS nn FROM b),
+m AS (SELECT bucket, x, {_sql_norm_ppf("((i + 1 - 0.375) / (nn + 0.25))")} AS m FROM r),
+g AS (SELECT bucket, count(*) AS n, corr(x, m) * corr(x, m) AS w FROM m GROUP BY bucket),
+z AS (SELECT *, (ln(1.0 - w) - (-1.2725 + 1.0521 * (ln(ln(CAST(n AS DOUBLE))) - ln(CAST(n AS DOUBLE)))))
+               / (1.0308 - 0.26758 * (ln(ln(CAST(n AS DOUBLE))) + 2.0 / ln(CAST(n AS DOUBLE)))) AS z FROM g),
+p AS (SELECT bucket, n, w, CASE WHEN n >= 5 AND n <= 5000 AND w < 1 THEN 1.0 - {_sql_norm_cdf("z")} END AS p_value
+      FROM z)
+SELECT *, p_value < 0.01 AS reject FROM p
+""", {"w": SIG6, "p_value": SIG6})
 def shapiro_francia_events(spark, sf):
     ev = table(spark, sf, "events").withColumn("bucket", F.col("user_id") % 10)
     return S.shapiro_francia(ev, "value", "event_id", by=["bucket"])
