@@ -141,7 +141,7 @@ def _sample_windows(size: int, per_doc: int):
     return run
 
 
-def train(labelled: DataFrame, window: int = 256, filters: int = 12, per_language: int = 1500,
+def train(labelled: DataFrame, window: int = 256, filters: int = 12, per_language: int = 1000,
           max_docs: int = 12000, per_doc: int = 3, steps: int = 1200, seed: int = 7) -> ByteNet | None:
     """Fit on (doc_id, text, lang) rows with a non-null language.
 

@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, decontam, langid, linededup
+from quarry.llm import bpe, decontam, langid, licenses, linededup, toxicity
 from quarry.llm.common import documents, remainder, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(documents(spark, sf_dir)).drop("spans")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "lang")
     net = langid.train(docs.where(remainder("doc_id", 4) != 2))
@@ -21,6 +25,15 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    learn = table(spark, sf_dir, "labels").where(remainder("doc_id", 3) != 1)
+    index, share = toxicity.train(docs, learn)
+    return toxicity.score(docs, index, share).select(
+        "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted",
+        F.concat_ws(",", F.col("evidence.doc_id")).alias("evidence"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_dedup(documents(spark, sf_dir)).select(
         "doc.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -38,6 +51,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_language_id, op8_line_dedup, op9_byte_bpe, op10_decontamination)}
+    f.__name__: f for f in (op3_license_scan, op6_language_id, op7_toxicity, op8_line_dedup, op9_byte_bpe,
+                            op10_decontamination)}
 
 ORACLE: dict[str, str] = {"op8_line_dedup": OP8_SQL}
