@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, decontam, langid, licenses, linededup, toxicity
+from quarry.llm import bpe, decontam, langid, licenses, linededup, neardup, toxicity
 from quarry.llm.common import documents, remainder, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(documents(spark, sf_dir)).drop("spans")
 
@@ -51,7 +55,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_license_scan, op6_language_id, op7_toxicity, op8_line_dedup, op9_byte_bpe,
-                            op10_decontamination)}
+    f.__name__: f for f in (op1_near_dedup, op3_license_scan, op6_language_id, op7_toxicity, op8_line_dedup,
+                            op9_byte_bpe, op10_decontamination)}
 
 ORACLE: dict[str, str] = {"op8_line_dedup": OP8_SQL}
