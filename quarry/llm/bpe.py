@@ -3,12 +3,9 @@
 Every task cuts its texts into pieces with the pretokenizer pattern and sends
 the distinct pieces it has not met yet to an in-process DuckDB connection.
 There a piece is a set of (piece, position, token) rows.  A recursive query
-joins neighbouring tokens with the merge table and contracts the pair of
-lowest rank until no piece has a pair that merges; the leftmost of equal pairs
-goes first, and pairs of that rank which do not overlap go in the same step
-(a merge can only create pairs of higher rank, so the result is the same as
-one pair a step).  Ordered aggregation turns the token rows into id lists and
-into the decoded bytes.  A piece that is a token as a whole is that token, as
+joins them with the merge table and contracts each piece's leftmost pair of
+minimum rank until no piece has a pair that merges.  Ordered aggregation turns
+the token rows into id lists and into the decoded bytes.  A piece that is a token as a whole is that token, as
 in the usual encoders.
 
 The merge table follows from the rank file: tokens x and y merge into the
@@ -24,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
 
 import duckdb
@@ -33,32 +31,60 @@ from pyspark.sql import DataFrame
 
 from quarry.llm.words import column
 
-#: pieces kept per Python worker, and pieces sent to one recursive query
+#: pieces and chunks kept per Python worker, and pieces sent to one recursive query
 CACHE = 400_000
 BLOCK = 60_000
 
-_ENCODE = """
+_WIDE_SPACE = re.compile(r" \s|\s ")
+
+#: pieces of more bytes than this take the query that contracts several pairs a step
+LONG = 256
+
+#: One contraction a step for each piece: rows (piece, position, token, next token) join the
+#: merge table; the smallest (rank, position) is the leftmost pair of minimum rank.
+_SHORT = """
 WITH RECURSIVE r AS (
-  SELECT 0 AS step, piece, pos, tok, false AS last FROM start
+  SELECT piece, list(tok ORDER BY pos) AS toks, false AS last FROM start GROUP BY piece
   UNION ALL
-  (WITH open AS (
-     SELECT step, piece, pos, tok,
-            lead(tok) OVER (PARTITION BY piece ORDER BY pos) AS nxt FROM r WHERE NOT last),
+  (WITH position AS (
+     SELECT piece, toks, unnest(range(1, len(toks))) AS p FROM r WHERE NOT last),
    pair AS (
-     SELECT o.*, m.id FROM open o LEFT JOIN merges m ON m.x = o.tok AND m.y = o.nxt),
+     SELECT piece, p, m.id FROM position JOIN merges m ON m.xy = toks[p]::BIGINT * 4294967296 + toks[p + 1]),
+   best AS (
+     SELECT piece, min(id::BIGINT * 4294967296 + p) AS b FROM pair GROUP BY piece)
+   SELECT r.piece,
+          CASE WHEN b IS NULL THEN toks
+               ELSE toks[:b % 4294967296 - 1] || [(b // 4294967296)::INTEGER] || toks[b % 4294967296 + 2:] END,
+          b IS NULL
+   FROM r LEFT JOIN best USING (piece) WHERE NOT r.last)
+)
+SELECT f.piece, any_value(f.ids) AS ids, count(*) AS n, string_agg(t.hex, '' ORDER BY f.pos) AS hex
+FROM (SELECT piece, array_to_string(toks, ',') AS ids, unnest(toks) AS tok,
+             generate_subscripts(toks, 1) AS pos FROM r WHERE last) f
+JOIN tokens t ON t.id = f.tok GROUP BY f.piece
+"""
+
+#: The same fixpoint for long pieces: all pairs of a piece's minimum rank that do not overlap
+#: are contracted in one step, from the left.  No pair made by a merge has a lower rank.
+_LONG = """
+WITH RECURSIVE r AS (
+  SELECT piece, pos, tok, false AS last FROM start
+  UNION ALL
+  (WITH pair AS (
+     SELECT o.piece, o.pos, o.tok, m.id
+     FROM (SELECT *, lead(tok) OVER (PARTITION BY piece ORDER BY pos) AS nxt FROM r WHERE NOT last) o
+     LEFT JOIN merges m ON m.xy = o.tok::BIGINT * 4294967296 + o.nxt),
    best AS (
      SELECT *, min(id) OVER (PARTITION BY piece) AS low,
             row_number() OVER (PARTITION BY piece ORDER BY pos) AS n FROM pair),
    hit AS (
-     SELECT *, id IS NOT NULL AND id = low AS h,
-            n - row_number() OVER (PARTITION BY piece, id IS NOT NULL AND id = low ORDER BY pos) AS island
-     FROM best),
+     SELECT *, coalesce(id = low, false) AS h,
+            n - row_number() OVER (PARTITION BY piece, coalesce(id = low, false) ORDER BY pos) AS island FROM best),
    odd AS (
      SELECT *, h AND row_number() OVER (PARTITION BY piece, h, island ORDER BY pos) % 2 = 1 AS go FROM hit),
    done AS (
      SELECT *, coalesce(lag(go) OVER (PARTITION BY piece ORDER BY pos), false) AS gone FROM odd)
-   SELECT step + 1, piece, pos, CASE WHEN go THEN id ELSE tok END, low IS NULL
-   FROM done WHERE NOT gone)
+   SELECT piece, pos, CASE WHEN go THEN id ELSE tok END, low IS NULL FROM done WHERE NOT gone)
 )
 SELECT r.piece, string_agg(CAST(r.tok AS VARCHAR), ',' ORDER BY r.pos) AS ids, count(*) AS n,
        string_agg(t.hex, '' ORDER BY r.pos) AS hex
@@ -78,6 +104,7 @@ class Encoder:
     def __init__(self, ranks_path: str, pattern: str):
         self.ranks = load_ranks(ranks_path)
         self.find = regex.compile(pattern).findall
+        self.pieces: dict[str, tuple[str, int, bytes]] = {}
         self.known: dict[str, tuple[str, int, bytes]] = {}
         self.con = duckdb.connect(":memory:", config={
             "threads": "1", "memory_limit": "450MB", "temp_directory": ""})
@@ -90,7 +117,7 @@ class Encoder:
                     x.append(a)
                     y.append(b)
                     ids.append(rank)
-        self._table("merges", {"x": pa.array(x, pa.int32()), "y": pa.array(y, pa.int32()),
+        self._table("merges", {"xy": pa.array([a << 32 | b for a, b in zip(x, y)], pa.int64()),
                                "id": pa.array(ids, pa.int32())})
         self._table("tokens", {"id": pa.array(list(self.ranks.values()), pa.int32()),
                                "hex": pa.array([t.hex() for t in self.ranks], pa.string())})
@@ -100,41 +127,65 @@ class Encoder:
         self.con.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT * FROM arrow_in")
         self.con.unregister("arrow_in")
 
+    def _contract(self, pieces: list[tuple[str, bytes]], query: str) -> None:
+        single = [self.ranks[bytes([b])] for b in range(256)]
+        piece, pos, tok = [], [], []
+        for k, (_, raw) in enumerate(pieces):
+            piece.extend([k] * len(raw))
+            pos.extend(range(len(raw)))
+            tok.extend([single[b] for b in raw])
+        self._table("start", {"piece": pa.array(piece, pa.int32()), "pos": pa.array(pos, pa.int32()),
+                              "tok": pa.array(tok, pa.int32())})
+        for k, ids, n, hexed in self.con.execute(query).fetchall():
+            self.pieces[pieces[k][0]] = (ids, n, bytes.fromhex(hexed))
+
     def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces by the recursive query."""
-        ids, single = self.ranks, [self.ranks[bytes([b])] for b in range(256)]
-        rest = []
+        """Encode new pieces by the recursive queries."""
+        short, long = [], []
         for p in pieces:
             raw = p.encode()
-            whole = ids.get(raw)
+            whole = self.ranks.get(raw)
             if whole is not None:
-                self.known[p] = (str(whole), 1, raw)
+                self.pieces[p] = (str(whole), 1, raw)
             else:
-                rest.append((p, raw))
-        for i in range(0, len(rest), BLOCK):
-            block = rest[i:i + BLOCK]
-            piece, pos, tok = [], [], []
-            for k, (_, raw) in enumerate(block):
-                piece.extend([k] * len(raw))
-                pos.extend(range(len(raw)))
-                tok.extend([single[b] for b in raw])
-            self._table("start", {"piece": pa.array(piece, pa.int32()), "pos": pa.array(pos, pa.int32()),
-                                  "tok": pa.array(tok, pa.int32())})
-            out = self.con.execute(_ENCODE).fetchall()
-            for k, text, n, hexed in out:
-                self.known[block[k][0]] = (text, n, bytes.fromhex(hexed))
+                (short if len(raw) <= LONG else long).append((p, raw))
+        for i in range(0, len(short), BLOCK):
+            self._contract(short[i:i + BLOCK], _SHORT)
+        for p in long:
+            self._contract([p], _LONG)
+
+    def _chunks(self, text: str | None) -> list[str]:
+        """Cut a text before every single space between two other characters.  No match of the
+        pattern crosses such a place, and the space opens the next match, so chunks are matched on
+        their own, and equal ones once.  A text with longer white space around a space is one chunk."""
+        if not text:
+            return []
+        if text[0] == " " or text[-1] == " " or _WIDE_SPACE.search(text):
+            return [text]
+        first, *rest = text.split(" ")
+        return [first, *[" " + x for x in rest]]
 
     def encode(self, texts: list[str | None]):
         """For each text: ids joined by commas, number of ids, decoded bytes."""
-        cut = [self.find(t) if t else [] for t in texts]
-        new = set().union(*cut).difference(self.known) if cut else set()
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = set().union(*cut)
-        self._learn(sorted(new))
-        for pieces in cut:
-            got = [self.known[p] for p in pieces]
-            yield ",".join([g[0] for g in got]), sum([g[1] for g in got]), b"".join([g[2] for g in got])
+        cut = [self._chunks(t) for t in texts]
+        now = set().union(*cut) if cut else set()
+        if len(self.known) + len(now) > CACHE:  # keep what is in use
+            self.known = {c: self.known[c] for c in now if c in self.known}
+        new = {c: self.find(c) for c in now if c not in self.known}
+        wanted = set().union(*new.values()) if new else set()
+        if len(self.pieces) + len(wanted) > CACHE:
+            self.pieces = {p: self.pieces[p] for p in wanted if p in self.pieces}
+        self._learn(sorted(wanted.difference(self.pieces)))
+        for c, parts in new.items():
+            got = [self.pieces[p] for p in parts]
+            self.known[c] = got[0] if len(got) == 1 else (
+                ",".join([g[0] for g in got]), sum([g[1] for g in got]), b"".join([g[2] for g in got]))
+        for chunks in cut:
+            if chunks:
+                ids, n, raw = zip(*map(self.known.__getitem__, chunks))
+                yield ",".join(ids), sum(n), b"".join(raw)
+            else:
+                yield "", 0, b""
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
