@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, decontam, langid, licenses, linededup, neardup, toxicity
+from quarry.llm import bpe, decontam, langid, licenses, linededup, neardup, toxicity, vptree
 from quarry.llm.common import documents, remainder, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -18,6 +18,27 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir))
 
 
+def op2_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vptree.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5, factor=1.0)
+
+
+OP2_SQL = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), p AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_cosine_similarity(q.e, v.e) AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+WHERE rank <= 5
+"""
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(documents(spark, sf_dir)).drop("spans")
 
@@ -55,7 +76,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_dedup, op3_license_scan, op6_language_id, op7_toxicity, op8_line_dedup,
-                            op9_byte_bpe, op10_decontamination)}
+    f.__name__: f for f in (op1_near_dedup, op2_nearest_vectors, op3_license_scan, op6_language_id, op7_toxicity,
+                            op8_line_dedup, op9_byte_bpe, op10_decontamination)}
 
-ORACLE: dict[str, str] = {"op8_line_dedup": OP8_SQL}
+ORACLE: dict[str, str] = {"op2_nearest_vectors": OP2_SQL, "op8_line_dedup": OP8_SQL}
