@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, decontam, hmm, langid, licenses, linededup, neardup, toxicity, vptree
+from quarry.llm import bpe, bwtdedup, decontam, hmm, langid, licenses, linededup, neardup, toxicity, vptree
 from quarry.llm.common import documents, remainder, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -43,6 +43,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(documents(spark, sf_dir)).drop("spans")
 
 
+def op4_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwtdedup.remove_repeats(documents(spark, sf_dir))
+
+
 def op5_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score_corpus(documents(spark, sf_dir), remainder("doc_id", 5) == 1)
 
@@ -80,7 +84,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_near_dedup, op2_nearest_vectors, op3_license_scan, op5_hidden_markov, op6_language_id, op7_toxicity,
+    f.__name__: f for f in (op1_near_dedup, op2_nearest_vectors, op3_license_scan, op4_repeated_bytes, op5_hidden_markov, op6_language_id, op7_toxicity,
                             op8_line_dedup, op9_byte_bpe, op10_decontamination)}
 
 ORACLE: dict[str, str] = {"op2_nearest_vectors": OP2_SQL, "op8_line_dedup": OP8_SQL}
