@@ -203,10 +203,14 @@ def predict(docs: DataFrame, net: ByteNet | None, window: int = 256) -> DataFram
 
 def keep_identified(docs: DataFrame, net: ByteNet | None, min_score: float = 0.4,
                     window: int = 256) -> DataFrame:
-    """The rows, with all their columns, whose language was identified."""
+    """The rows, with all their columns, whose language was identified.  Without a
+    network (nothing to learn from) every text with a letter is kept."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores = _judge(net, column(batch, "text"), window)
-            good = [x != UNDETERMINED and s >= min_score for x, s in zip(langs, scores)]
+            if net is None:
+                good = [_LETTER.search(t or "") is not None for t in column(batch, "text").to_pylist()]
+            else:
+                good = [x != UNDETERMINED and s >= min_score for x, s in zip(langs, scores)]
             yield batch.filter(pa.array(good, pa.bool_()))
     return docs.mapInArrow(run, docs.schema)
