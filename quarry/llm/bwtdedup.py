@@ -49,10 +49,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from quarry.llm.common import materialize
-from quarry.llm.words import column, mix, prefix_hash, span_hash, text_slices
+from quarry.llm.words import column, mix, prefix_hash, rows_of, span_hash, text_slices
 
 GRAM = 32
 BLOCK = 50
+#: bytes of text in a batch: a task holds some thirty times as much in hashes
+SLICE = 1 << 20
 _POS = np.uint64((1 << 28) - 1)
 
 
@@ -82,11 +84,11 @@ class Runs:
         empty = np.zeros(0, np.int64)
         self.start = self.stop = self.doc = empty
         self.g = self.c = np.zeros(0, np.uint64)
-        self.prefix = prefix_hash(data)
         if len(data) < length:
             return
+        prefix = prefix_hash(data)
         p = np.arange(len(data) - GRAM + 1)
-        gram = span_hash(self.prefix, p, p + GRAM)
+        gram = span_hash(prefix, p, p + GRAM)
         low = _sliding_min((gram & ~_POS) | p.astype(np.uint64), length - GRAM + 1)
         doc = np.repeat(np.arange(len(offs) - 1), np.diff(offs))[:len(low)]
         at = np.flatnonzero(np.arange(len(low)) + length <= offs[1:][doc])
@@ -98,7 +100,7 @@ class Runs:
         self.stop = at[np.append(new[1:], len(at)) - 1] + 1
         self.g = gram[anchor[new]]
         # the place of the anchor in the snippet is part of the pair
-        self.c = mix(span_hash(self.prefix, self.start, self.stop + length - 1)
+        self.c = mix(span_hash(prefix, self.start, self.stop + length - 1)
                      + (anchor[new] - self.start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
     def entries(self):
@@ -126,7 +128,7 @@ def _batches(id_type):
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             ids = column(batch, "doc_id")
-            for a, b, data, offs in text_slices(column(batch, "text")):
+            for a, b, data, offs in text_slices(column(batch, "text"), SLICE):
                 yield pa.RecordBatch.from_pydict({
                     "batch": pa.array([number], pa.int64()),
                     "ids": pa.array([ids.slice(a, b - a).to_pylist()], pa.list_(id_type)),
@@ -140,8 +142,9 @@ def _batches(id_type):
 def _ask(length: int, ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            for batch, data, offs in zip(*(column(rows, x).to_pylist() for x in ("batch", "data", "offs"))):
-                g, c, twice, _, _ = Runs(_unpack(data, np.uint8), np.frombuffer(offs, np.int64), length).entries()
+            for r in rows_of(rows):
+                batch = r["batch"]
+                g, c, twice, _, _ = Runs(_unpack(r["data"], np.uint8), np.frombuffer(r["offs"], np.int64), length).entries()
                 use = _cuts(g, ranges)
                 yield pa.RecordBatch.from_pydict({
                     "part": pa.array([i for i, _, _ in use], pa.int32()), "batch": pa.array([batch] * len(use), pa.int64()),
@@ -207,7 +210,7 @@ def _settle(length: int, id_type, keep: bool):
     """Cut documents without open pairs; hand on the others and the distinct open snippets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            for r in rows.to_pylist():
+            for r in rows_of(rows):
                 data, offs = _unpack(r["data"], np.uint8), np.frombuffer(r["offs"], np.int64)
                 runs = Runs(data, offs, length)
                 g, _, _, first, entry = runs.entries()
@@ -253,7 +256,7 @@ def _send(ranges: int):
     """One row per batch and range: the shard's open snippets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            for r in rows.to_pylist():
+            for r in rows_of(rows):
                 g, size = np.frombuffer(r["g"], np.uint64), np.frombuffer(r["size"], np.int32)
                 twice, data = np.frombuffer(r["twice"], bool), _unpack(r["snippets"], np.uint8)
                 at = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
@@ -373,7 +376,7 @@ def _repeats(length: int):
 def _finish(length: int, id_type, keep: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            for r in rows.to_pylist():
+            for r in rows_of(rows):
                 offs, data = np.frombuffer(r["offs"], np.int64), _unpack(r["data"], np.uint8)
                 repeated = np.unpackbits(_unpack(r["repeated"], np.uint8), count=len(data)).astype(bool)
                 hits = _together(r["answers"], "hits", np.uint8).astype(bool)

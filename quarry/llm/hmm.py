@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import materialize
-from quarry.llm.words import LOWER, bounds, column, hash_text, text_slices, words
+from quarry.llm.words import LOWER, bounds, column, hash_text, rows_of, text_slices, words
 
 CLASSES = 1024
 SEGMENT = 128
@@ -182,7 +182,7 @@ def _code(symbols: Symbols, id_type):
     """Batches with their answers become symbol sequences and per-document sums."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            for r in rows.to_pylist():
+            for r in rows_of(rows):
                 w, cls = np.frombuffer(r["words"], np.uint64), np.frombuffer(r["cls"], np.uint16)
                 count = np.concatenate([_unpack(x["counts"], np.uint64) for x in sorted(
                     r["answers"], key=lambda x: x["part"])]).astype(float)
@@ -286,7 +286,7 @@ def _expected(chain: Chain):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = None
         for rows in batches:
-            for r in rows.to_pylist():
+            for r in rows_of(rows):
                 n, held = np.array(r["n"]), np.array(r["held"], bool)
                 if held.all():
                     continue
@@ -314,7 +314,7 @@ def _score(chain: Chain, n_all: float, v_all: float, id_type, flush: int = 6_000
                 "base_score": pa.array(flat["base"] - n * np.log10(n_all + 0.5 * (v_all + 1)), pa.float64()),
                 "score": pa.array(chain.log10_likelihood(sym, n) + flat["inside"], pa.float64())})
         for rows in batches:
-            for r in rows.to_pylist():
+            for r in rows_of(rows):
                 held_back.append(r)
                 size += sum(r["n"])
                 if size >= flush:  # long documents share their steps with all others held back

@@ -155,3 +155,9 @@ def lookup(sorted_keys, values):
 
 def column(batch: pa.RecordBatch, name: str):
     return batch.column(batch.schema.get_field_index(name))
+
+
+def rows_of(batch: pa.RecordBatch):
+    """Rows of a batch as dicts, one at a time: large binary values are not all copied at once."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
