@@ -415,7 +415,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, range_bytes: int = 16 <<
                     "repeated binary, todo binary, g binary, size binary, twice binary, snippets binary, n_open long"),
         "bwt-open")
     open_bytes = settled.agg(F.sum("n_open")).first()[0] or 0
-    parts = max(1, -(-open_bytes // (range_bytes // 4)))
+    # a merge holds some 200 bytes of arrays for each byte of its range
+    parts = max(1, -(-open_bytes // max(1, range_bytes // 32)))
     hits = (settled.where("n_open > 0").select("batch", "g", "size", "twice", "snippets")
             .mapInArrow(_send(parts), "part int, batch long, size binary, twice binary, data binary")
             .groupBy("part").applyInPandas(_repeats(length), "batch long, part int, hits binary")
