@@ -11,7 +11,10 @@ copy should not travel, so the transforms are built per range of anchors:
    distinct (anchor, snippet) pairs occur.  An anchor with one snippet is
    settled: repeated if that snippet occurs twice, unique otherwise.  Copies
    are thus counted once a batch, and only anchors with several different
-   snippets (where copies begin, end or differ) are open.
+   snippets (where copies begin, end or differ) are open.  An anchor with more
+   than HOT of them (a line that very many documents hold, each in another
+   context) would bring them all to one range.  It is split: its strings are
+   counted under a hash of their own, spread over all ranges.
 3. For open anchors each batch sends its distinct snippets; a batch is a shard
    of the range.  A shard sorts its suffixes over an alphabet of 50-byte
    blocks (every byte offset starts a suffix; its predecessor is 50 bytes
@@ -55,6 +58,8 @@ GRAM = 32
 BLOCK = 50
 #: bytes of text in a batch: a task holds some thirty times as much in hashes
 SLICE = 1 << 20
+#: snippets of one anchor in the corpus, or in one batch, beyond which its strings are spread
+HOT, HOT_BATCH = 200, 16
 _POS = np.uint64((1 << 28) - 1)
 
 
@@ -104,14 +109,22 @@ class Runs:
                      + (anchor[new] - self.start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
     def entries(self):
-        """Distinct (g, c) sorted by g then c: (g, c, seen twice, first run, entry of each run)."""
+        """Distinct (g, c) sorted by g then c: (g, c, seen, first run, entry of each run).
+        ``seen`` is 1 for a pair that occurs twice; an anchor with more than HOT_BATCH snippets
+        is one entry with ``seen`` 2."""
         order = np.lexsort((self.c, self.g))
         g, c = self.g[order], self.c[order]
-        new = np.append(True, (g[1:] != g[:-1]) | (c[1:] != c[:-1])) if len(g) else np.zeros(0, bool)
+        new_g = np.append(True, g[1:] != g[:-1]) if len(g) else np.zeros(0, bool)
+        new = new_g.copy()
+        new[1:] |= c[1:] != c[:-1]
+        anchor = np.cumsum(new_g) - 1
+        many = (np.bincount(anchor, new) > HOT_BATCH)[anchor] if len(g) else np.zeros(0, bool)
+        new &= new_g | ~many
         first = np.flatnonzero(new)
         entry = np.empty(len(g), np.int64)
         entry[order] = np.cumsum(new) - 1
-        return g[first], c[first], np.diff(np.append(first, len(g))) > 1, order[first], entry
+        seen = np.where(many[first], 2, np.diff(np.append(first, len(g))) > 1).astype(np.uint8)
+        return g[first], np.where(many[first], np.uint64(0), c[first]), seen, order[first], entry
 
 
 def _edges(ranges: int):
@@ -154,21 +167,23 @@ def _ask(length: int, ranges: int):
 
 
 def _count(part: pd.DataFrame) -> pd.DataFrame:
-    """Codes of all pairs of one range: 0 unique, 1 repeated, 2 open, 3 repeated and open."""
+    """Codes of all pairs of one range: 0 unique, 1 repeated, 2 open, 3 repeated and open,
+    4 of a hot anchor."""
     g = [np.frombuffer(x, np.uint64) for x in part["g"]]
     cut = np.cumsum([0, *map(len, g)])
     g = np.concatenate(g)
     c = np.concatenate([np.frombuffer(x, np.uint64) for x in part["c"]])
-    twice = np.concatenate([np.frombuffer(x, bool) for x in part["twice"]])
+    seen = np.concatenate([np.frombuffer(x, np.uint8) for x in part["twice"]])
     order = np.lexsort((c, g))
     gs, cs = g[order], c[order]
     new_g = np.append(True, gs[1:] != gs[:-1])
     new = new_g | np.append(True, cs[1:] != cs[:-1])
     pair, anchor = np.cumsum(new) - 1, np.cumsum(new_g) - 1
-    often = np.bincount(pair, 1 + twice[order])[pair] > 1
-    several = np.bincount(anchor, new)[anchor] > 1
+    often = np.bincount(pair, 1 + seen[order])[pair] > 1
+    snippets = np.bincount(anchor, new)[anchor]
+    hot = (snippets > HOT) | (np.bincount(anchor, seen[order] == 2)[anchor] > 0)
     code = np.empty(len(g), np.uint8)
-    code[order] = often + 2 * several
+    code[order] = np.where(hot, 4, often + 2 * (snippets > 1))
     return pd.DataFrame({"batch": part["batch"].to_numpy(), "part": part["part"].to_numpy(),
                          "code": [_pack(code[a:b]) for a, b in zip(cut, cut[1:])]})
 
@@ -206,6 +221,15 @@ def _results(ids, rows, id_type, keep: bool):
     return out
 
 
+def _strings(data, start, stop, length: int):
+    """Hashes of all strings of some runs, in run order."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    n = stop - start
+    at = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    return span_hash(prefix_hash(data), at, at + length)
+
+
 def _settle(length: int, id_type, keep: bool):
     """Cut documents without open pairs; hand on the others and the distinct open snippets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,22 +242,25 @@ def _settle(length: int, id_type, keep: bool):
                 mine = code[entry] if len(entry) else np.zeros(0, np.uint8)
                 mark = np.zeros(len(data) + 1, np.int64)
                 for edge, step in ((runs.start, 1), (runs.stop, -1)):
-                    np.add.at(mark, edge[(mine & 1) == 1], step)
+                    np.add.at(mark, edge[(mine == 1) | (mine == 3)], step)
                 repeated = np.cumsum(mark)[:-1] > 0
                 waiting = np.zeros(len(offs) - 1, bool)
-                waiting[runs.doc[mine == 2]] = True
+                waiting[runs.doc[(mine == 2) | (mine == 4)]] = True
                 done = [_cut(data[a:b], _covered(repeated[a:b], length))
                         for a, b, w in zip(offs, offs[1:], waiting) if not w]
                 ids = r["ids"]
-                sent = np.flatnonzero(code >= 2)
+                is_sent = (code == 2) | (code == 3)
+                sent = np.flatnonzero(is_sent)
                 at = first[sent]
                 size = (runs.stop[at] - runs.start[at] + length - 1).astype(np.int32)
                 snippets = (np.concatenate([data[a:a + n] for a, n in zip(runs.start[at], size)])
                             if len(at) else np.zeros(0, np.uint8))
                 # each open run: start, stop and the place of its snippet among those sent
-                place = np.cumsum(code >= 2) - 1
+                place = np.cumsum(is_sent) - 1
                 opened = np.flatnonzero(mine == 2)
                 todo = np.stack([runs.start[opened], runs.stop[opened], place[entry[opened]]]).astype(np.int64)
+                hot = np.stack([runs.start[mine == 4], runs.stop[mine == 4]]).astype(np.int64)
+                string, times = np.unique(_strings(data, *hot, length), return_counts=True)
                 has = bool(waiting.any())
                 yield pa.RecordBatch.from_pydict({
                     "batch": pa.array([r["batch"]], pa.int64()),
@@ -245,6 +272,9 @@ def _settle(length: int, id_type, keep: bool):
                                       if has else None], pa.binary()),
                     "repeated": pa.array([_pack(np.packbits(repeated)) if has else None], pa.binary()),
                     "todo": pa.array([_pack(todo) if has else None], pa.binary()),
+                    "hot": pa.array([_pack(hot) if has else None], pa.binary()),
+                    "hot_g": pa.array([string.tobytes() if len(string) else None], pa.binary()),
+                    "hot_twice": pa.array([(times > 1).tobytes()], pa.binary()),
                     "g": pa.array([g[sent].tobytes()], pa.binary()), "size": pa.array([size.tobytes()], pa.binary()),
                     "twice": pa.array([(code[sent] == 3).tobytes()], pa.binary()),
                     "snippets": pa.array([_pack(snippets)], pa.binary()),
@@ -270,6 +300,22 @@ def _send(ranges: int):
     return run
 
 
+def _ask_strings(ranges: int):
+    """The strings of hot anchors ask like pairs, each under its own hash."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for r in rows_of(rows):
+                g, twice = np.frombuffer(r["hot_g"], np.uint64), np.frombuffer(r["hot_twice"], np.uint8)
+                use = _cuts(g, ranges)
+                yield pa.RecordBatch.from_pydict({
+                    "part": pa.array([i for i, _, _ in use], pa.int32()),
+                    "batch": pa.array([r["batch"]] * len(use), pa.int64()),
+                    "g": pa.array([g[a:b].tobytes() for _, a, b in use], pa.binary()),
+                    "c": pa.array([np.zeros(b - a, np.uint64).tobytes() for _, a, b in use], pa.binary()),
+                    "twice": pa.array([twice[a:b].tobytes() for _, a, b in use], pa.binary())})
+    return run
+
+
 class Shard:
     """Snippets of one batch, their suffixes over blocks, and the transform.
 
@@ -384,6 +430,13 @@ def _finish(length: int, id_type, keep: bool):
                 at = np.cumsum(size) - size
                 for start, stop, place in _unpack(r["todo"], np.int64).reshape(3, -1).T:
                     repeated[start:stop] |= hits[at[place]:at[place] + stop - start]
+                start, stop = _unpack(r["hot"], np.int64).reshape(2, -1)
+                string = _strings(data, start, stop, length)
+                again = _together(r["hot_answers"], "code", np.uint8)[np.searchsorted(np.unique(string), string)] == 1 \
+                    if len(string) else np.zeros(0, bool)
+                n = np.cumsum(np.concatenate([[0], stop - start]))
+                for a, b, lo, hi in zip(start, stop, n, n[1:]):
+                    repeated[a:b] |= again[lo:hi]
                 waiting = np.frombuffer(r["wait"], bool)
                 done = [_cut(data[a:b], _covered(repeated[a:b], length))
                         for a, b, w in zip(offs, offs[1:], waiting) if w]
@@ -412,7 +465,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, range_bytes: int = 16 <<
         batches.select("batch", "ids", "offs", "data").join(codes, "batch", "left")
         .mapInArrow(_settle(length, id_type, keep_bytes),
                     f"batch long, {result}, wait_ids array<{kind}>, wait binary, offs binary, data binary, "
-                    "repeated binary, todo binary, g binary, size binary, twice binary, snippets binary, n_open long"),
+                    "repeated binary, todo binary, hot binary, hot_g binary, hot_twice binary, g binary, size binary, "
+                    "twice binary, snippets binary, n_open long"),
         "bwt-open")
     open_bytes = settled.agg(F.sum("n_open")).first()[0] or 0
     # a merge holds some 200 bytes of arrays for each byte of its range
@@ -421,8 +475,13 @@ def remove_repeats(docs: DataFrame, length: int = 200, range_bytes: int = 16 <<
             .mapInArrow(_send(parts), "part int, batch long, size binary, twice binary, data binary")
             .groupBy("part").applyInPandas(_repeats(length), "batch long, part int, hits binary")
             .groupBy("batch").agg(F.collect_list(F.struct("part", "hits")).alias("answers")))
-    late = (settled.where("wait IS NOT NULL").select("batch", "wait_ids", "wait", "offs", "data", "repeated", "todo", "size")
-            .join(hits, "batch", "left").mapInArrow(_finish(length, id_type, keep_bytes), result))
+    hot = (settled.where("hot_g IS NOT NULL").select("batch", "hot_g", "hot_twice")
+           .mapInArrow(_ask_strings(ranges), "part int, batch long, g binary, c binary, twice binary")
+           .groupBy("part").applyInPandas(_count, "batch long, part int, code binary")
+           .groupBy("batch").agg(F.collect_list(F.struct("part", "code")).alias("hot_answers")))
+    late = (settled.where("wait IS NOT NULL")
+            .select("batch", "wait_ids", "wait", "offs", "data", "repeated", "todo", "hot", "size")
+            .join(hits, "batch", "left").join(hot, "batch", "left").mapInArrow(_finish(length, id_type, keep_bytes), result))
     names = [c for c in _RESULT if c != "kept" or keep_bytes]
     both = settled.select("ids", *names).unionByName(late)
     return both.select(F.explode(F.arrays_zip("ids", *names)).alias("r")).select(

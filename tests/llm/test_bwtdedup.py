@@ -53,6 +53,17 @@ def test_hard_repeats(spark, docs_of, monkeypatch):
     assert Counter(run(df, range_bytes=4000)) == Counter(brute(rows))
 
 
+def test_hot_anchors(spark, docs_of):
+    """A short line in many contexts, with and without copies of the contexts."""
+    rnd = random.Random(9)
+    text = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    line = text(90)
+    rows = [(i, text(rnd.randrange(100, 400)) + line + text(rnd.randrange(100, 400))) for i in range(260)]
+    rows += [(300 + i, text(30) + rows[i][1][20:-20] + text(30)) for i in range(0, 40)]
+    df = docs_of(rows).repartition(16)
+    assert Counter(run(df)) == Counter(brute(rows))
+
+
 def test_shorter_length_and_edges(nasty, no_docs, docs_of):
     rows = [(r.doc_id, r.text) for r in nasty.collect()]
     assert Counter(run(nasty)) == Counter(brute(rows))
