@@ -16,14 +16,15 @@ copy should not travel, so the transforms are built per range of anchors:
    context) would bring them all to one range.  It is split: its strings are
    counted under a hash of their own, spread over all ranges.
 3. For open anchors each batch sends its distinct snippets; a batch is a shard
-   of the range.  A shard sorts its suffixes over an alphabet of 50-byte
-   blocks (every byte offset starts a suffix; its predecessor is 50 bytes
+   of the range.  A shard (or some
+   small ones together) sorts its suffixes over an alphabet of 100-byte
+   blocks (every byte offset starts a suffix; its predecessor is 100 bytes
    earlier) and so has its own transform.  The shards are merged by interleave
    refinement: starting from shard order, each round puts the suffixes in the
    order of the block before them, reading every shard's transform in turn, so
    after round d the merged order is right for d blocks.  Boundaries appear in
    the round in which neighbours first differ; they are the common prefix
-   lengths, in blocks.  After length / 50 rounds an interval of two or more
+   lengths, in blocks.  After length / 100 rounds an interval of two or more
    suffixes is a repeated string.  No suffix is compared or sorted again.
 4. Answers return to their batch, and documents are cut.
 
@@ -55,11 +56,12 @@ from quarry.llm.common import materialize
 from quarry.llm.words import column, mix, prefix_hash, rows_of, span_hash, text_slices
 
 GRAM = 32
-BLOCK = 50
+BLOCK = 100
 #: bytes of text in a batch: a task holds some thirty times as much in hashes
 SLICE = 1 << 20
+SHARD = 32 << 10
 #: snippets of one anchor in the corpus, or in one batch, beyond which its strings are spread
-HOT, HOT_BATCH = 200, 16
+HOT, HOT_BATCH = 32, 8
 _POS = np.uint64((1 << 28) - 1)
 
 
@@ -275,6 +277,7 @@ def _settle(length: int, id_type, keep: bool):
                     "hot": pa.array([_pack(hot) if has else None], pa.binary()),
                     "hot_g": pa.array([string.tobytes() if len(string) else None], pa.binary()),
                     "hot_twice": pa.array([(times > 1).tobytes()], pa.binary()),
+                    "n_hot": pa.array([len(string)], pa.int64()),
                     "g": pa.array([g[sent].tobytes()], pa.binary()), "size": pa.array([size.tobytes()], pa.binary()),
                     "twice": pa.array([(code[sent] == 3).tobytes()], pa.binary()),
                     "snippets": pa.array([_pack(snippets)], pa.binary()),
@@ -397,10 +400,16 @@ def _repeats(length: int):
     """For one range: which strings of every shard's snippets are repeated."""
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("batch", kind="stable")
+        data = [_unpack(x, np.uint8) for x in part["data"]]
+        sizes = [np.frombuffer(x, np.int32) for x in part["size"]]
+        flags = [np.frombuffer(x, bool) for x in part["twice"]]
+        # small batches share a shard of about SHARD bytes
+        group = np.cumsum([0, *map(len, data)])[:-1] // SHARD
         shards, twice = [], []
-        for data, size, t in zip(part["data"], part["size"], part["twice"]):
-            shards.append(Shard(_unpack(data, np.uint8), np.frombuffer(size, np.int32)))
-            twice.append(np.frombuffer(t, bool))
+        for k in np.unique(group):
+            a, b = np.searchsorted(group, [k, k + 1])
+            shards.append(Shard(np.concatenate(data[a:b]), np.concatenate(sizes[a:b])))
+            twice.append(np.concatenate(flags[a:b]))
         source, interval = merge(shards, length // BLOCK)
         by_shard = np.argsort(source, kind="stable")
         interval = interval[by_shard]
@@ -413,8 +422,11 @@ def _repeats(length: int):
             n = len(s.order)
             hit = np.zeros(n, bool)
             hit[s.order] = (often & full)[at:at + n]
-            out.append(_pack(hit[s.offset + length <= s.size[s.snippet]].astype(np.uint8)))
+            out.append(hit[s.offset + length <= s.size[s.snippet]].astype(np.uint8))
             at += n
+        strings = np.cumsum([0, *[int((x.astype(np.int64) - length + 1).sum()) for x in sizes]])
+        hits = np.concatenate(out)
+        out = [_pack(hits[a:b]) for a, b in zip(strings, strings[1:])]
         return pd.DataFrame({"batch": part["batch"].to_numpy(), "part": part["part"].to_numpy(), "hits": out})
     return run
 
@@ -446,7 +458,7 @@ def _finish(length: int, id_type, keep: bool):
 
 def remove_repeats(docs: DataFrame, length: int = 200, range_bytes: int = 16 << 20, keep_bytes: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept]) per row; ``length``
-    must be a multiple of the block of 50 bytes."""
+    must be a multiple of the block of 100 bytes."""
     if length % BLOCK or length < BLOCK:
         raise ValueError(f"length must be a multiple of {BLOCK}")
     id_type = to_arrow_type(docs.schema["doc_id"].dataType)
@@ -465,10 +477,10 @@ def remove_repeats(docs: DataFrame, length: int = 200, range_bytes: int = 16 <<
         batches.select("batch", "ids", "offs", "data").join(codes, "batch", "left")
         .mapInArrow(_settle(length, id_type, keep_bytes),
                     f"batch long, {result}, wait_ids array<{kind}>, wait binary, offs binary, data binary, "
-                    "repeated binary, todo binary, hot binary, hot_g binary, hot_twice binary, g binary, size binary, "
+                    "repeated binary, todo binary, hot binary, hot_g binary, hot_twice binary, n_hot long, g binary, size binary, "
                     "twice binary, snippets binary, n_open long"),
         "bwt-open")
-    open_bytes = settled.agg(F.sum("n_open")).first()[0] or 0
+    open_bytes, hot_strings = (x or 0 for x in settled.agg(F.sum("n_open"), F.sum("n_hot")).first())
     # a merge holds some 200 bytes of arrays for each byte of its range
     parts = max(1, -(-open_bytes // max(1, range_bytes // 32)))
     hits = (settled.where("n_open > 0").select("batch", "g", "size", "twice", "snippets")
@@ -476,7 +488,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, range_bytes: int = 16 <<
             .groupBy("part").applyInPandas(_repeats(length), "batch long, part int, hits binary")
             .groupBy("batch").agg(F.collect_list(F.struct("part", "hits")).alias("answers")))
     hot = (settled.where("hot_g IS NOT NULL").select("batch", "hot_g", "hot_twice")
-           .mapInArrow(_ask_strings(ranges), "part int, batch long, g binary, c binary, twice binary")
+           .mapInArrow(_ask_strings(max(1, -(-hot_strings // (range_bytes // 32)))), "part int, batch long, g binary, c binary, twice binary")
            .groupBy("part").applyInPandas(_count, "batch long, part int, code binary")
            .groupBy("batch").agg(F.collect_list(F.struct("part", "code")).alias("hot_answers")))
     late = (settled.where("wait IS NOT NULL")
