@@ -105,7 +105,8 @@ class Runs:
         new = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])))
         self.start, self.doc = at[new], doc[new]
         self.stop = at[np.append(new[1:], len(at)) - 1] + 1
-        self.g = gram[anchor[new]]
+        # anchors are minima, so their hashes crowd near zero; mixed again they spread over the ranges
+        self.g = mix(gram[anchor[new]])
         # the place of the anchor in the snippet is part of the pair
         self.c = mix(span_hash(prefix, self.start, self.stop + length - 1)
                      + (anchor[new] - self.start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
