@@ -82,8 +82,9 @@ def quantiles_from_counts(counts: DataFrame, keys: Sequence[str],
                       (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias("value"))
 
 
-def _stat_name(p: float) -> str:
-    return f"{p * 100:g}%"
+def stat_names(probs: Sequence[float]) -> Column:
+    """Map from probability to its label: 0.25 to ``25%``, 0.025 to ``2.5%``."""
+    return F.create_map(*[F.lit(x) for p in probs for x in (float(p), f"{p * 100:g}%")])
 
 
 def _moments(df: DataFrame, cols: Sequence[str], by: Sequence[str], stats: dict) -> DataFrame:
@@ -116,7 +117,7 @@ def describe_by(df: DataFrame, by: Sequence[str], cols: Sequence[str],
     by = list(by)
     mom = _moments(df, cols, by, _DESCRIBE)
     q = quantiles(df, cols, QUARTILES, by, exact)
-    stat = F.concat(F.format_number(F.col("prob") * 100, 0), F.lit("%"))
+    stat = stat_names(QUARTILES)[F.col("prob")]
     return mom.unionByName(q.select(*by, "col_name", stat.alias("stat"), "value"))
 
 
@@ -129,7 +130,7 @@ def describe_basic(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     """
     cols = list(cols or df.columns)
     types = dict(df.dtypes)
-    numeric = [c for c in cols if types[c] in NUMERIC_TYPES]
+    numeric = [c for c in cols if is_numeric(types[c])]
     strings = [c for c in cols if types[c] == "string"]
     aggs, pairs = [], []
     for c in numeric:
@@ -152,7 +153,12 @@ def describe_basic(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     return wide.select(F.explode(F.array(*rows)).alias("_s")).select("_s.*")
 
 
-NUMERIC_TYPES = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+NUMERIC_TYPES = {"tinyint", "smallint", "int", "bigint", "float", "double", "decimal"}
+
+
+def is_numeric(kind: str, kinds=frozenset(NUMERIC_TYPES)) -> bool:
+    """Whether a type string such as ``int`` or ``decimal(10,2)`` is one of ``kinds``."""
+    return kind.split("(")[0] in kinds
 
 
 def summary(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
@@ -336,7 +342,8 @@ def gram(df: DataFrame, xs: Sequence[str], y: str | None = None,
 
     Rows cover X'X (upper triangle and mirror), X'y, y'y and n (as
     col_a = col_b = '_n').  With ``intercept`` a constant column ``_one`` is
-    part of X.  One pass, one partial aggregate; p x p values per fold.
+    part of X.  Rows with a NULL in any used column
+    take no part.  One pass, one partial aggregate; p x p values per fold.
     """
     names = (["_one"] if intercept else []) + list(xs)
     exprs = {c: F.col(c).cast("double") for c in xs}
@@ -352,6 +359,10 @@ def gram(df: DataFrame, xs: Sequence[str], y: str | None = None,
             mirror[(a, b)] = mirror[(b, a)] = alias
     aggs.append(F.count(F.lit(1)).cast("double").alias("_n"))
     fcol = (F.col(fold) if isinstance(fold, str) else fold) if fold is not None else F.lit(0)
+    # sums, counts and the constant column all run over the same rows: those without a NULL
+    for c in allv:
+        if c != "_one":
+            df = df.where(F.col(c).isNotNull())
     wide = df.groupBy(fcol.cast("int").alias("fold")).agg(*aggs)
     rows = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
                      F.col(f"`{mirror[(a, b)]}`").alias("s"))

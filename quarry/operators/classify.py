@@ -136,10 +136,10 @@ def feature_pipeline(stages: Sequence) -> Pipeline:
 
 
 def index_categories(df: DataFrame, cols: Sequence[str], suffix: str = "_idx") -> DataFrame:
-    """Value -> index by descending frequency, ties alphabetical."""
+    """Value -> index by descending frequency, ties alphabetical; a NULL raises."""
     from pyspark.ml.feature import StringIndexer
     si = StringIndexer(inputCols=list(cols), outputCols=[c + suffix for c in cols],
-                       stringOrderType="frequencyDesc", handleInvalid="keep")
+                       stringOrderType="frequencyDesc", handleInvalid="error")
     return si.fit(df).transform(df)
 
 
@@ -191,27 +191,26 @@ def boosted_trees_grid(train: DataFrame, test: DataFrame, label: str, settings:
                        features: str = "features", seed: int = 42) -> list[dict]:
     """One gradient-boosted-trees fit per setting (trees, depth, rate).
 
-    Depth above Spark's limit is clamped and a rate outside (0, 1] is refused;
-    each output row says what was done.  Returns rows with F1 / accuracy.
+    A depth above Spark's limit and a rate outside (0, 1] are refused; each
+    output row says so.  Returns rows with F1 / accuracy.
     """
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     out = []
     for s in settings:
         trees, depth, rate = s["trees"], s["depth"], s["rate"]
-        note = ""
         if not (0 < rate <= 1):
             out.append({**s, "status": "refused: rate outside (0, 1]", "f1": None, "accuracy": None})
             continue
         if depth > GBT_MAX_DEPTH:
-            note = f"depth clamped to {GBT_MAX_DEPTH}"
-            depth = GBT_MAX_DEPTH
+            out.append({**s, "status": f"refused: depth above {GBT_MAX_DEPTH}", "f1": None, "accuracy": None})
+            continue
         m = GBTClassifier(labelCol=label, featuresCol=features, maxIter=trees, maxDepth=depth,
                           stepSize=rate, seed=seed).fit(train)
         pred = m.transform(test)
         f1 = MulticlassClassificationEvaluator(labelCol=label, metricName="f1").evaluate(pred)
         acc = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy").evaluate(pred)
-        out.append({**s, "status": note or "ok", "f1": f1, "accuracy": acc})
+        out.append({**s, "status": "ok", "f1": f1, "accuracy": acc})
     return out
 
 
@@ -438,8 +437,13 @@ class BinomialGLM:
         out = []
         for sign in (-1, 1):
             inner, outer = b0, b0 + sign * 2 * Z95 * se
-            while dev(outer) < 0:
+            for _ in range(20):  # the deviance never rises on separable data: then there is no bound
+                if dev(outer) >= 0:
+                    break
                 outer = b0 + (outer - b0) * 2
+            else:
+                out.append(sign * math.inf)
+                continue
             for _ in range(iters):
                 mid = (inner + outer) / 2
                 if dev(mid) < 0:

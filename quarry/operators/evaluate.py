@@ -74,14 +74,14 @@ def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 
 def accuracy(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """Share of rows with prediction = label."""
-    hit = (F.col(label) == F.col(pred)).cast("double")
+    """Share of rows with prediction = label; a NULL on either side is a miss."""
+    hit = F.coalesce((F.col(label) == F.col(pred)).cast("double"), F.lit(0.0))
     return df.agg(F.avg(hit).alias("accuracy"), F.count(F.lit(1)).alias("n"))
 
 
 def accuracy_by_class(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """Accuracy within each actual class."""
-    hit = (F.col(label) == F.col(pred)).cast("double")
+    """Accuracy within each actual class; a NULL on either side is a miss."""
+    hit = F.coalesce((F.col(label) == F.col(pred)).cast("double"), F.lit(0.0))
     return df.groupBy(F.col(label).alias("label")).agg(
         F.avg(hit).alias("accuracy"), F.count(F.lit(1)).alias("n"))
 
@@ -97,8 +97,10 @@ def rates_by_label(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 def _threshold_table(df: DataFrame, label: str, score: str) -> DataFrame:
     """Per distinct score (descending): cumulative true / false positives when
-    predicting positive at score >= threshold, before and including the row."""
+    predicting positive at score >= threshold, before and including the row.
+    Rows with a NULL label or score take no part."""
     y = F.col(label).cast("double")
+    df = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
     g = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.sum(F.when(y > 0.5, 1).otherwise(0)).cast("long").alias("_pos"),
         F.sum(F.when(y > 0.5, 0).otherwise(1)).cast("long").alias("_neg"))
@@ -159,7 +161,9 @@ def f_by_threshold(df: DataFrame, label: str, score: str, beta: float = 1.0) ->
 
 
 def regression_metrics(df: DataFrame, y: str, pred: str) -> DataFrame:
-    """R2, MSE, RMSE, MAE in one aggregate (SST from the population variance)."""
+    """R2, MSE, RMSE, MAE in one aggregate (SST from the population variance),
+    over the rows in which neither side is NULL."""
+    df = df.where(F.col(y).isNotNull() & F.col(pred).isNotNull())
     e = F.col(y).cast("double") - F.col(pred).cast("double")
     m = df.agg(F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("sse"),
                F.avg(F.abs(e)).alias("mae"), F.var_pop(F.col(y).cast("double")).alias("_v"))
@@ -179,8 +183,8 @@ def log_loss(df: DataFrame, label: str, p: str, eps: float = 1e-15) -> DataFrame
     """Mean binary cross-entropy with probabilities clipped to [eps, 1-eps]."""
     q = F.least(F.greatest(F.col(p).cast("double"), F.lit(eps)), F.lit(1 - eps))
     y = F.col(label).cast("double")
-    return df.agg(F.avg(-(y * F.ln(q) + (1 - y) * F.ln(1 - q))).alias("log_loss"),
-                  F.count(F.lit(1)).alias("n"))
+    loss = -(y * F.ln(q) + (1 - y) * F.ln(1 - q))
+    return df.agg(F.avg(loss).alias("log_loss"), F.count(loss).alias("n"))
 
 
 def perplexity(df: DataFrame, nll: str, weight: str | None = None,

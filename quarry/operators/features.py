@@ -67,7 +67,7 @@ def feature_summary(weights: DataFrame, doc: str, n_docs: Column | int | None =
     quantiles as one weighted zero value, never materialised.
     Returns (term, stat, value).
     """
-    from quarry.operators.agg import quantiles_from_counts
+    from quarry.operators.agg import quantiles_from_counts, stat_names
     n = n_docs if n_docs is not None else weights.select(F.countDistinct(doc)).scalar()
     n = n if isinstance(n, Column) else F.lit(n)
     w = F.col("weight").cast("double")
@@ -88,7 +88,7 @@ def feature_summary(weights: DataFrame, doc: str, n_docs: Column | int | None =
     zero_rows = g.select("term", F.lit(0.0).alias("value"), zeros.cast("long").alias("_cnt")).where("_cnt > 0")
     merged = counts.unionByName(zero_rows).groupBy("term", "value").agg(F.sum("_cnt").alias("_cnt"))
     q = quantiles_from_counts(merged, ["term"], probs)
-    stat = F.concat(F.format_number(F.col("prob") * 100, 0), F.lit("%"))
+    stat = stat_names(probs)[F.col("prob")]
     return mom.unionByName(q.select("term", stat.alias("stat"), "value"))
 
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.agg import NUMERIC_TYPES
+from quarry.operators.agg import NUMERIC_TYPES, is_numeric
 
 
 def reorder(df: DataFrame, cols: Sequence[str], target: str | None = None) -> DataFrame:
@@ -25,7 +25,7 @@ def features_of(df: DataFrame, target: str | Sequence[str]) -> DataFrame:
 
 def numeric_columns(df: DataFrame, kinds: Sequence[str] = tuple(NUMERIC_TYPES)) -> DataFrame:
     """Only the columns whose type is one of ``kinds``."""
-    return df.select([c for c, t in df.dtypes if t in set(kinds)])
+    return df.select([c for c, t in df.dtypes if is_numeric(t, frozenset(kinds))])
 
 
 def since(df: DataFrame, col: str, v) -> DataFrame:

@@ -112,7 +112,8 @@ def rates_by_label_lineitem(spark, sf):
 _THRESH = f"""
 WITH s AS ({SCORED_SQL}),
 g AS (SELECT CAST(score AS DOUBLE) AS threshold, CAST(sum(CASE WHEN y > 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS pos,
-             CAST(sum(CASE WHEN y > 0.5 THEN 0 ELSE 1 END) AS BIGINT) AS neg FROM s GROUP BY 1),
+             CAST(sum(CASE WHEN y > 0.5 THEN 0 ELSE 1 END) AS BIGINT) AS neg FROM s
+      WHERE y IS NOT NULL AND score IS NOT NULL GROUP BY 1),
 t AS (SELECT threshold,
              coalesce(sum(pos) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS tp0,
              coalesce(sum(neg) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS fp0,
@@ -180,7 +181,7 @@ def priced(spark, sf):
 SELECT count(*) AS n, 1 - sum((y - pred) * (y - pred)) / (var_pop(y) * count(*)) AS r2,
        sum((y - pred) * (y - pred)) / count(*) AS mse, sqrt(sum((y - pred) * (y - pred)) / count(*)) AS rmse,
        avg(abs(y - pred)) AS mae
-FROM ({_PRICED_SQL})
+FROM ({_PRICED_SQL}) WHERE y IS NOT NULL AND pred IS NOT NULL
 """, {"r2": SIG, "mse": SIG, "rmse": SIG, "mae": SIG})
 def regression_metrics_price(spark, sf):
     return E.regression_metrics(priced(spark, sf), "y", "pred")

@@ -33,16 +33,18 @@ def order_features(spark, sf) -> DataFrame:
         F.count(F.lit(1)).cast("double").alias("n_lines"), F.sum("l_quantity").alias("sum_qty"),
         F.avg("l_discount").alias("avg_discount"), F.avg("l_tax").alias("avg_tax"))
     o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
-    j = o.join(li, o.o_orderkey == li.l_orderkey).drop("l_orderkey")
+    j = o.join(li, o.o_orderkey == li.l_orderkey, "left").drop("l_orderkey").na.fill(
+        0.0, ["n_lines", "sum_qty", "avg_discount", "avg_tax"])  # an order without lines has zeros
     mean = table(spark, sf, "orders").agg(F.avg("o_totalprice")).scalar()
     return j.withColumn("label", (F.col("o_totalprice") > mean).cast("double"))
 
 
 ORDER_FEATURES_SQL = """
-of AS (SELECT o_orderkey, o_totalprice, o_orderpriority, CAST(count(*) AS DOUBLE) AS n_lines,
-              sum(l_quantity) AS sum_qty, avg(l_discount) AS avg_discount, avg(l_tax) AS avg_tax,
+of AS (SELECT o_orderkey, o_totalprice, o_orderpriority, CAST(count(l_orderkey) AS DOUBLE) AS n_lines,
+              coalesce(sum(l_quantity), 0) AS sum_qty, coalesce(avg(l_discount), 0) AS avg_discount,
+              coalesce(avg(l_tax), 0) AS avg_tax,
               CAST(o_totalprice > (SELECT avg(o_totalprice) FROM orders) AS DOUBLE) AS label
-       FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL)
+       FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL)
 """
 
 
@@ -186,7 +188,7 @@ def random_forest_regression_orders(spark, sf):
 
 @register("boosted_trees_grid_orders")
 def boosted_trees_grid_orders(spark, sf):
-    """A grid of boosted trees; out-of-range depth is clamped and an
+    """A grid of boosted trees; out-of-range depth is refused and an
     out-of-range rate refused, and each row says so."""
     df = _assembled(spark, sf)
     settings = [{"trees": 10, "depth": 3, "rate": 0.1}, {"trees": 2, "depth": 35, "rate": 0.1},

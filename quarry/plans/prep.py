@@ -84,12 +84,11 @@ def index_categories_orders(spark, sf):
 
 @register("one_hot_orders", f"""
 WITH p AS {_freq_index_sql('o_orderpriority')}, k AS (SELECT count(*) AS k FROM p)
-SELECT o_orderkey, list_transform(range(k + 1), lambda j: CASE WHEN j = p.ix THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)
+SELECT o_orderkey, list_transform(range(k), lambda j: CASE WHEN j = p.ix THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)
        AS o_orderpriority_hot
 FROM orders JOIN p ON o_orderpriority = p.v, k
 """)
 def one_hot_orders(spark, sf):
-    # the indexer keeps unseen values (index k), so vectors have k + 1 slots
     o = index_categories(table(spark, sf, "orders").select("o_orderkey", "o_orderpriority"),
                          ["o_orderpriority"])
     h = one_hot(o, ["o_orderpriority_idx"])
