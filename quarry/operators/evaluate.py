@@ -183,7 +183,8 @@ def log_loss(df: DataFrame, label: str, p: str, eps: float = 1e-15) -> DataFrame
     """Mean binary cross-entropy with probabilities clipped to [eps, 1-eps]."""
     q = F.least(F.greatest(F.col(p).cast("double"), F.lit(eps)), F.lit(1 - eps))
     y = F.col(label).cast("double")
-    loss = -(y * F.ln(q) + (1 - y) * F.ln(1 - q))
+    # greatest() and least() pass over a NULL, so a missing p must be left out here
+    loss = F.when(F.col(p).isNotNull(), -(y * F.ln(q) + (1 - y) * F.ln(1 - q)))
     return df.agg(F.avg(loss).alias("log_loss"), F.count(loss).alias("n"))
 
 
