@@ -121,9 +121,12 @@ def _keys(ids, data, offs, bands: int, rows: int) -> pa.RecordBatch:
     flat = pa.array(band.view(np.int64).ravel())
     cuts = np.append(np.zeros(1, np.int64), np.cumsum(np.where(np.diff(where) > 0, bands, 0))).astype(np.int32)
     flat = flat.filter(pa.array(np.repeat(np.diff(where) > 0, bands)))
+    plain = np.ones(n, bool)
+    plain[(packed[count > 1] >> np.uint64(64 - _LOCAL_BITS)).astype(np.int64)] = False
     return pa.RecordBatch.from_arrays(
         [ids, pa.array(key[0].view(np.int64)), pa.array(key[1].view(np.int64)),
-         pa.ListArray.from_arrays(pa.array(cuts), flat)], names=["doc_id", "k1", "k2", "bands"])
+         pa.ListArray.from_arrays(pa.array(cuts), flat), pa.array(np.bincount(owner, minlength=n)), pa.array(plain)],
+        names=["doc_id", "k1", "k2", "bands", "total", "plain"])
 
 
 def similarity(a_hash, a_count, b_hash, b_count) -> float:
@@ -209,12 +212,70 @@ def components(links: DataFrame) -> DataFrame:
         edges.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
 
 
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shingle hash, node, count), a slice of documents at a time."""
+    for batch in batches:
+        ids = column(batch, "doc_id")
+        for a, b, data, offs in text_slices(column(batch, "text")):
+            h, doc, _, _ = words(data, offs)
+            s, owner = shingles(h, doc, b - a)
+            order = np.lexsort((s, owner))
+            s, owner = s[order], owner[order]
+            head = np.flatnonzero(np.append(True, (s[1:] != s[:-1]) | (owner[1:] != owner[:-1]))[:len(s)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(s[head].view(np.int64)), ids.slice(a, b - a).take(pa.array(owner[head])),
+                 pa.array(np.diff(np.append(head, len(s))))], names=["s", "node", "n"])
+
+
+def profiles(texts: DataFrame, hashed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, total, alone, plain) of ``nodes``: how many shingles its text has, how
+    many of these no other of the texts holds, and whether all are different.  Ids
+    with several texts get alone = 0 and plain = false, which rules nothing out."""
+    own = (texts.join(nodes, texts["doc_id"] == nodes["node"], "left_semi").select("doc_id", "text")
+           .mapInArrow(_shingle_rows, "s long, node long, n long")
+           .groupBy("s").agg(F.count("*").alias("holders"), F.min("node").alias("node"), F.min("n").alias("n"))
+           .where("holders = 1").groupBy("node").agg(F.sum("n").alias("alone")))
+    size = (hashed.join(nodes, hashed["doc_id"] == nodes["node"], "left_semi").groupBy(F.col("doc_id").alias("node"))
+            .agg(F.count("*").alias("texts"), F.max("total").alias("total"), F.min("plain").alias("plain")))
+    one = F.col("texts") == 1
+    return size.join(own, "node", "left").select(
+        "node", "total", F.when(one, F.coalesce("alone", F.lit(0))).otherwise(0).alias("alone"),
+        (F.col("plain") & one).alias("plain"))
+
+
+def possible(x: str, y: str, threshold: float):
+    """Whether the texts of profiles ``x`` and ``y`` can have J >= threshold.
+
+    With shares u and v of lone weight, J <= (1 - u)(1 - v) / (1 - uv): in
+    normalised weights p, q a common element adds at most p q / (u q + p), which
+    is concave, and the common weights are at most 1 - u and 1 - v.  If no text
+    repeats a shingle, J is that of sets, and the smaller rest s of the sizes
+    n and m bounds it by s / (n + m - s).
+    """
+    least = threshold - 1e-9
+    n, m = F.col(f"{x}.total"), F.col(f"{y}.total")
+    u, v = F.col(f"{x}.alone") / n, F.col(f"{y}.alone") / m
+    s = F.least(n - F.col(f"{x}.alone"), m - F.col(f"{y}.alone"))
+    return (((1 - u) * (1 - v) >= least * (1 - u * v))
+            & (~(F.col(f"{x}.plain") & F.col(f"{y}.plain")) | (s >= least * (n + m - s))))
+
+
+def open_buckets(member: DataFrame, root: DataFrame) -> DataFrame:
+    """(b, node, root, main) of the buckets whose nodes lie in several components;
+    ``main`` is the component with most of them."""
+    placed = member.select("b", "node").join(root, "node", "left").select(
+        "b", "node", F.coalesce("root", "node").alias("root"))
+    sized = placed.groupBy("b", "root").agg(F.count("*").alias("n"))
+    split = sized.groupBy("b").agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("k")).where("k > 1")
+    return placed.join(split.select("b", F.col("top.root").alias("main")), "b")
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS,
                     rows: int = ROWS) -> DataFrame:
     """(doc_id, class_id, class_size) for every document with an id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     hashed = materialize(docs.mapInArrow(_hash_documents(bands, rows),
-                                         "doc_id long, k1 long, k2 long, bands array<long>"), "minhash")
+                                         "doc_id long, k1 long, k2 long, bands array<long>, total long, plain boolean"), "minhash")
     full = hashed.where(F.size("bands") > 0)
     node = saved(full.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"))
                  .select(F.col("k1").alias("n1"), F.col("k2").alias("n2"), "node"))
@@ -227,17 +288,31 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     links = saved(verify(pairs, docs, threshold).select("a", "b"))
     root = saved(components(links))
 
-    # buckets that still span components
-    placed = member.select("b", "node").join(root, "node", "left").select(
-        "b", "node", F.coalesce("root", "node").alias("root"))
-    sized = placed.groupBy("b", "root").agg(F.count("*").alias("n"))
-    split = sized.groupBy("b").agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("k")).where("k > 1")
-    open_ = saved(placed.join(split.select("b", F.col("top.root").alias("main")), "b"))
-    other = open_.select("b", F.col("node").alias("y"), F.col("root").alias("ry"), F.col("main").alias("m2"))
-    rest = (open_.where("root <> main").select("b", F.col("node").alias("x"), F.col("root").alias("rx"))
-            .join(other, "b").where("rx <> ry AND (ry = m2 OR x < y)")
+    # buckets that still span components: first against their most central node, then all that is left
+    open_ = saved(open_buckets(member, root))
+    profile = saved(profiles(docs, hashed, open_.select("node").distinct()))
+    shape = F.struct("total", "alone", "plain")
+    open_ = open_.join(profile.select("node", shape.alias("shape")), "node").where(
+        F.col("shape.alone") <= (1 - threshold + 1e-9) * F.col("shape.total"))
+    centre = open_.groupBy("b").agg(F.min(F.struct(
+        (F.col("shape.alone") / F.col("shape.total")).alias("share"), "node", "root", "shape")).alias("c"))
+    near = (open_.select("b", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("shape").alias("sx"))
+            .join(centre.select("b", F.col("c.node").alias("y"), F.col("c.root").alias("ry"), F.col("c.shape").alias("sy")), "b")
+            .where("rx <> ry").where(possible("sx", "sy", threshold))
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    near = saved(near.join(pairs, ["a", "b"], "left_anti"))
+    links = saved(links.unionByName(verify(near, docs, threshold).select("a", "b")))
+    root = saved(components(links))
+
+    open_ = saved(open_buckets(open_.select("b", "node"), root)
+                  .join(profile.select("node", shape.alias("shape")), "node"))
+    other = open_.select("b", F.col("node").alias("y"), F.col("root").alias("ry"), F.col("main").alias("m2"),
+                         F.col("shape").alias("sy"))
+    rest = (open_.where("root <> main").select("b", F.col("node").alias("x"), F.col("root").alias("rx"),
+                                               F.col("shape").alias("sx"))
+            .join(other, "b").where("rx <> ry AND (ry = m2 OR x < y)").where(possible("sx", "sy", threshold))
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-            .join(pairs, ["a", "b"], "left_anti"))
+            .join(pairs.unionByName(near), ["a", "b"], "left_anti"))
     more = saved(verify(saved(rest), docs, threshold).select("a", "b"))
     root = components(links.unionByName(more))
 
