@@ -38,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import materialize, saved
@@ -129,11 +129,12 @@ def _keys(ids, data, offs, bands: int, rows: int) -> pa.RecordBatch:
         names=["doc_id", "k1", "k2", "bands", "total", "plain"])
 
 
-def similarity(a_hash, a_count, b_hash, b_count) -> float:
-    """Exact probability Jaccard of two weighted sets given as sorted hashes and counts."""
+def similarity(a_hash, a_count, b_hash, b_count) -> tuple[float, int]:
+    """Exact probability Jaccard of two weighted sets given as sorted hashes and
+    counts, and how many elements are common."""
     common, ia, ib = np.intersect1d(a_hash, b_hash, assume_unique=True, return_indices=True)
     if not len(common):
-        return 0.0
+        return 0.0, 0
     x, y = a_count[ia].astype(float), b_count[ib].astype(float)
     only_a = a_count.sum() - x.sum()
     only_b = b_count.sum() - y.sum()
@@ -142,7 +143,7 @@ def similarity(a_hash, a_count, b_hash, b_count) -> float:
         # for elements with x / y = ratio, J adds x / sum max(x', ratio y')
         at = x / y == ratio
         total += x[at].sum() / (np.maximum(x, ratio * y).sum() + only_a + ratio * only_b)
-    return float(total)
+    return float(total), len(common)
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,26 +167,28 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _verify(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            keep, common = [], []
             for sa, ca, sb, cb in zip(*(column(batch, c) for c in ("sa", "ca", "sb", "cb"))):
                 a, b = np.frombuffer(sa.as_buffer(), np.uint64), np.frombuffer(sb.as_buffer(), np.uint64)
-                j = similarity(a, np.frombuffer(ca.as_buffer(), np.uint32), b, np.frombuffer(cb.as_buffer(), np.uint32))
+                j, c = similarity(a, np.frombuffer(ca.as_buffer(), np.uint32), b, np.frombuffer(cb.as_buffer(), np.uint32))
                 keep.append(j if j >= threshold - 1e-12 else None)
+                common.append(c)
             got = pa.array(keep, pa.float64())
-            out = pa.RecordBatch.from_arrays([column(batch, "a"), column(batch, "b"), got], names=["a", "b", "j"])
+            out = pa.RecordBatch.from_arrays([column(batch, "a"), column(batch, "b"), got, pa.array(common, pa.int64())],
+                                             names=["a", "b", "j", "common"])
             yield out.filter(got.is_valid())
     return run
 
 
 def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The (a, b, j) of ``pairs`` (a, b) whose texts have J >= threshold."""
+    """The (a, b, j, common) of ``pairs`` (a, b) whose texts have J >= threshold."""
     used = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     sets = materialize(texts.join(used, "doc_id", "left_semi").select("doc_id", "text")
                        .mapInArrow(_shingle_sets, "doc_id long, s binary, c binary"), "shingle-sets")
     left = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa"), F.col("c").alias("ca"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"), F.col("c").alias("cb"))
     return (pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "ca", "sb", "cb")
-            .mapInArrow(_verify(threshold), "a long, b long, j double"))
+            .mapInArrow(_verify(threshold), "a long, b long, j double, common long"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -248,14 +251,20 @@ def possible(x: str, y: str, threshold: float):
 
     With shares u and v of lone weight, J <= (1 - u)(1 - v) / (1 - uv): in
     normalised weights p, q a common element adds at most p q / (u q + p), which
-    is concave, and the common weights are at most 1 - u and 1 - v.  If no text
-    repeats a shingle, J is that of sets, and the smaller rest s of the sizes
-    n and m bounds it by s / (n + m - s).
+    is concave, and the common weights are at most 1 - u and 1 - v.
+
+    If no text repeats a shingle, J is that of sets: with s common elements of n
+    and m, J = s / (n + m - s).  s is at most the smaller rest without lone
+    shingles.  And of the ``common`` elements that each has with a third text, the
+    bucket's centre, no more than the smaller number are in both; elsewhere no
+    more than the smaller number of shingles that are not lone.
     """
     least = threshold - 1e-9
-    n, m = F.col(f"{x}.total"), F.col(f"{y}.total")
-    u, v = F.col(f"{x}.alone") / n, F.col(f"{y}.alone") / m
-    s = F.least(n - F.col(f"{x}.alone"), m - F.col(f"{y}.alone"))
+    n, m, a, b = (F.col(f"{p}.{f}") for f in ("total", "alone") for p in (x, y))
+    cn, cm = F.col(f"{x}.common"), F.col(f"{y}.common")
+    u, v = a / n, b / m
+    by_centre = F.least(cn, cm) + F.greatest(F.least(n - cn - a, m - cm - b), F.lit(0))
+    s = F.least(n - a, m - b, by_centre)  # a null by_centre does not count
     return (((1 - u) * (1 - v) >= least * (1 - u * v))
             & (~(F.col(f"{x}.plain") & F.col(f"{y}.plain")) | (s >= least * (n + m - s))))
 
@@ -288,31 +297,38 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     links = saved(verify(pairs, docs, threshold).select("a", "b"))
     root = saved(components(links))
 
-    # buckets that still span components: first against their most central node, then all that is left
-    open_ = saved(open_buckets(member, root))
-    profile = saved(profiles(docs, hashed, open_.select("node").distinct()))
-    shape = F.struct("total", "alone", "plain")
-    open_ = open_.join(profile.select("node", shape.alias("shape")), "node").where(
-        F.col("shape.alone") <= (1 - threshold + 1e-9) * F.col("shape.total"))
-    centre = open_.groupBy("b").agg(F.min(F.struct(
-        (F.col("shape.alone") / F.col("shape.total")).alias("share"), "node", "root", "shape")).alias("c"))
-    near = (open_.select("b", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("shape").alias("sx"))
-            .join(centre.select("b", F.col("c.node").alias("y"), F.col("c.root").alias("ry"), F.col("c.shape").alias("sy")), "b")
-            .where("rx <> ry").where(possible("sx", "sy", threshold))
+    # buckets that still span components: first to their centre and along sizes, then all that is left
+    spread = saved(open_buckets(member, root).select("b", "node"))
+    profile = saved(profiles(docs, hashed, spread.select("node").distinct()))
+    spread = saved(spread.join(profile, "node").where(F.col("alone") <= (1 - threshold + 1e-9) * F.col("total")))
+    centre = spread.groupBy("b").agg(F.min(F.struct(
+        (F.col("alone") / F.col("total")).alias("share"), "node", "plain")).alias("c"))
+    spread = spread.join(centre.select("b", F.col("c.node").alias("centre"), F.col("c.plain").alias("whole")), "b")
+    step = spread.groupBy("b", "total").agg(F.min("node").alias("first"))
+    chain = step.select(F.col("first").alias("x"),
+                        F.lag("first").over(Window.partitionBy("b").orderBy("total")).alias("y"))
+    to_first = spread.join(step, ["b", "total"]).select(F.col("node").alias("x"), F.col("first").alias("y"))
+    near = (spread.select(F.col("node").alias("x"), F.col("centre").alias("y")).unionByName(to_first)
+            .unionByName(chain).where("x <> y")
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    near = saved(near.join(pairs, ["a", "b"], "left_anti"))
-    links = saved(links.unionByName(verify(near, docs, threshold).select("a", "b")))
+    seen = saved(verify(saved(near), docs, 0.0))
+    links = saved(links.unionByName(seen.where(F.col("j") >= threshold - 1e-12).select("a", "b")))
     root = saved(components(links))
 
-    open_ = saved(open_buckets(open_.select("b", "node"), root)
-                  .join(profile.select("node", shape.alias("shape")), "node"))
+    far = seen.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("centre")),
+                                        F.struct(F.col("b").alias("node"), F.col("a").alias("centre")))).alias("k"),
+                      "common").select("k.*", "common")
+    common = F.when(F.col("whole"), F.when(F.col("node") == F.col("centre"), F.col("total")).otherwise(F.col("common")))
+    shape = spread.join(far, ["node", "centre"], "left").select(
+        "b", "node", F.struct("total", "alone", "plain", common.alias("common")).alias("shape"))
+    open_ = saved(open_buckets(spread.select("b", "node"), root).join(shape, ["b", "node"]))
     other = open_.select("b", F.col("node").alias("y"), F.col("root").alias("ry"), F.col("main").alias("m2"),
                          F.col("shape").alias("sy"))
     rest = (open_.where("root <> main").select("b", F.col("node").alias("x"), F.col("root").alias("rx"),
                                                F.col("shape").alias("sx"))
             .join(other, "b").where("rx <> ry AND (ry = m2 OR x < y)").where(possible("sx", "sy", threshold))
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-            .join(pairs.unionByName(near), ["a", "b"], "left_anti"))
+            .join(pairs.unionByName(seen.select("a", "b")), ["a", "b"], "left_anti"))
     more = saved(verify(saved(rest), docs, threshold).select("a", "b"))
     root = components(links.unionByName(more))
 
