@@ -180,11 +180,14 @@ def _verify(threshold: float):
     return run
 
 
-def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The (a, b, j, common) of ``pairs`` (a, b) whose texts have J >= threshold."""
-    used = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = materialize(texts.join(used, "doc_id", "left_semi").select("doc_id", "text")
+def shingle_sets(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(doc_id, s, c) of the texts of ``nodes`` (doc_id): the one shuffle of whole texts."""
+    return materialize(texts.join(nodes, "doc_id", "left_semi").select("doc_id", "text")
                        .mapInArrow(_shingle_sets, "doc_id long, s binary, c binary"), "shingle-sets")
+
+
+def verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The (a, b, j, common) of ``pairs`` (a, b) whose texts have J >= threshold."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa"), F.col("c").alias("ca"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"), F.col("c").alias("cb"))
     return (pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "ca", "sb", "cb")
@@ -216,25 +219,20 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(shingle hash, node, count), a slice of documents at a time."""
+    """(shingle hash, node, count) of every entry of the sets, a document at a time."""
     for batch in batches:
-        ids = column(batch, "doc_id")
-        for a, b, data, offs in text_slices(column(batch, "text")):
-            h, doc, _, _ = words(data, offs)
-            s, owner = shingles(h, doc, b - a)
-            order = np.lexsort((s, owner))
-            s, owner = s[order], owner[order]
-            head = np.flatnonzero(np.append(True, (s[1:] != s[:-1]) | (owner[1:] != owner[:-1]))[:len(s)])
+        for node, s, c in zip(*(column(batch, k) for k in ("doc_id", "s", "c"))):
+            v = np.frombuffer(s.as_buffer(), np.int64)
+            n = np.frombuffer(c.as_buffer(), np.uint32).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(s[head].view(np.int64)), ids.slice(a, b - a).take(pa.array(owner[head])),
-                 pa.array(np.diff(np.append(head, len(s))))], names=["s", "node", "n"])
+                [pa.array(v), pa.array(np.full(len(v), node.as_py())), pa.array(n)], names=["s", "node", "n"])
 
 
-def profiles(texts: DataFrame, hashed: DataFrame, nodes: DataFrame) -> DataFrame:
+def profiles(sets: DataFrame, hashed: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, total, alone, plain) of ``nodes``: how many shingles its text has, how
     many of these no other of the texts holds, and whether all are different.  Ids
     with several texts get alone = 0 and plain = false, which rules nothing out."""
-    own = (texts.join(nodes, texts["doc_id"] == nodes["node"], "left_semi").select("doc_id", "text")
+    own = (sets.join(nodes, sets["doc_id"] == nodes["node"], "left_semi")
            .mapInArrow(_shingle_rows, "s long, node long, n long")
            .groupBy("s").agg(F.count("*").alias("holders"), F.min("node").alias("node"), F.min("n").alias("n"))
            .where("holders = 1").groupBy("node").agg(F.sum("n").alias("alone")))
@@ -294,12 +292,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     low = buckets.groupBy("b").agg(F.min("node").alias("low"), F.count("*").alias("n")).where("n > 1")
     member = materialize(buckets.join(low, "b").select("b", "node", "low"), "buckets")
     pairs = saved(member.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct())
-    links = saved(verify(pairs, docs, threshold).select("a", "b"))
+    sets = shingle_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    links = saved(verify(pairs, sets, threshold).select("a", "b"))
     root = saved(components(links))
 
     # buckets that still span components: first to their centre and along sizes, then all that is left
     spread = saved(open_buckets(member, root).select("b", "node"))
-    profile = saved(profiles(docs, hashed, spread.select("node").distinct()))
+    profile = saved(profiles(sets, hashed, spread.select("node").distinct()))
     spread = saved(spread.join(profile, "node").where(F.col("alone") <= (1 - threshold + 1e-9) * F.col("total")))
     centre = spread.groupBy("b").agg(F.min(F.struct(
         (F.col("alone") / F.col("total")).alias("share"), "node", "plain")).alias("c"))
@@ -311,7 +310,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     near = (spread.select(F.col("node").alias("x"), F.col("centre").alias("y")).unionByName(to_first)
             .unionByName(chain).where("x <> y")
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    seen = saved(verify(saved(near), docs, 0.0))
+    seen = saved(verify(saved(near), sets, 0.0))
     links = saved(links.unionByName(seen.where(F.col("j") >= threshold - 1e-12).select("a", "b")))
     root = saved(components(links))
 
@@ -329,7 +328,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
             .join(other, "b").where("rx <> ry AND (ry = m2 OR x < y)").where(possible("sx", "sy", threshold))
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
             .join(pairs.unionByName(seen.select("a", "b")), ["a", "b"], "left_anti"))
-    more = saved(verify(saved(rest), docs, threshold).select("a", "b"))
+    more = saved(verify(saved(rest), sets, threshold).select("a", "b"))
     root = components(links.unionByName(more))
 
     classes = (full.join(node, own).select("doc_id", "node")
