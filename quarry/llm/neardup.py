@@ -16,10 +16,14 @@ J = sum over common d of 1 / sum over d' of max(x[d'] / x[d], y[d'] / y[d]).
    node of the bucket, never to all others, and each distinct link is verified
    by the exact J of the shingle counts.  Connected components follow from the
    verified links.
-3. A bucket whose nodes are still in several components is compared again:
-   every node outside the bucket's largest component against the nodes of other
-   components, so that no candidate pair between components goes unseen, while
-   a large group of near copies, one component by now, is never paired up.
+3. In a bucket whose nodes are still in several components every node is
+   verified against the bucket's centre (the node with the smallest share of
+   shingles that no other open node holds), and nodes along their sizes: a few
+   pairs a node.  What then still spans components is compared again: every node
+   outside the bucket's largest component against the nodes of other components,
+   but for pairs whose counts already rule out the threshold (``possible``).  No
+   pair that could be a link goes unseen.  Dense groups just below the threshold
+   stay quadratic in what the bounds leave.
 
 With 24 bands of 5 registers a pair at J = 0.8 shares a band with probability
 0.9999.  Buckets and links are aggregated before they are joined; joins on a
