@@ -53,3 +53,46 @@ def test_edges(spark, nasty, no_docs, docs_of):
     for lab in (labels.where("false"), labels.where("toxic = 0")):
         ix, sh = toxicity.train(train_docs, lab)
         assert ix is None and {r.score for r in toxicity.score(nasty, ix, sh).collect()} == {0.0}
+
+
+def test_every_term_of_every_text_counts(spark, docs_of):
+    rng = np.random.default_rng(9)
+    names = [f"word{i}" for i in range(400)]
+    texts = {i: " ".join(rng.choice(names, rng.integers(3, 40))) + (" awful" if i % 2 and i % 5 else "")
+             for i in range(300)}
+    texts |= {i: " ".join(rng.choice(names, 20)) + f" own{i} own{i} alone{i}" for i in range(300, 400)}
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int")
+    index, share = toxicity.train(docs_of(list(texts.items())), labels)
+    got = {r.doc_id: r for r in toxicity.score(docs_of(list(texts.items())), index, share).collect()}
+
+    def terms(text):
+        out = {}
+        for w in text.split():
+            for t in [w] + [(n, w[:n]) for n in toxicity.PREFIXES if len(w) > n]:
+                out[t] = out.get(t, 0) + 1
+        return out
+    bags = {i: terms(t) for i, t in texts.items()}
+    ids, label = index.ids.tolist(), dict(zip(index.ids.tolist(), index.label.tolist()))
+    size = [sum(v == x for v in label.values()) for x in (0, 1)]
+    df, by = {}, ({}, {})
+    for i, bag in bags.items():
+        for t in bag:
+            df[t] = df.get(t, 0) + 1
+            if i in label:
+                by[label[i]][t] = by[label[i]].get(t, 0) + 1
+
+    def weight(t):
+        a, b = by[1].get(t, 0), by[0].get(t, 0)
+        p = (a + b) / sum(size)
+        z = abs(a / size[1] - b / size[0]) / (p * (1 - p) * (1 / size[0] + 1 / size[1])) ** 0.5 if 0 < p < 1 else 0
+        return (np.log((1 + len(texts)) / (1 + df[t])) + 1) * max(1, z)
+
+    def vector(bag):
+        w = {t: (1 + np.log(n)) * weight(t) for t, n in bag.items()}
+        norm = sum(x * x for x in w.values()) ** 0.5
+        return {t: x / norm for t, x in w.items()}
+    vec = {i: vector(bag) for i, bag in bags.items()}
+    for i in texts:
+        want = sorted((-sum(x * vec[j].get(t, 0) for t, x in vec[i].items()), j) for j in ids)[:5]
+        assert np.allclose([-s for s, _ in want], [e.cosine for e in got[i].evidence], atol=1e-9)
+    assert len(got) == len(texts) and all(len(r.evidence) == 5 for r in got.values())
