@@ -9,12 +9,17 @@ wholly in some passage.  Pruning is that of block-max WAND: the sum of a
 passage's largest weights bounds its score for any item, the sums per block
 bound it within a block, and only blocks whose bound reaches the threshold are
 scored.  Every (passage, item) pair at or above the threshold is kept; there
-is no top-k.
+is no top-k.  A document that holds only the question or only the answer can
+score less, so the n-grams of these parts have postings of their own, which
+give every (document, part) pair with enough n-grams.
 
 Each pair is then verified on the whole document: which share of the item's
 word n-grams occurs in it, for the question, for the answer (the last sentence
-of an item that has several) and for both together, which decides: an item
-counts as leaked when at least ``min_overlap`` of its n-grams occur.
+of an item that has several) and for both together.  An item counts as leaked
+when at least ``min_overlap`` of the n-grams of both together occur, or of a
+question of at least ``ngram`` words, or of an answer of at least ``ANSWER``
+words; shorter parts are no evidence on their own.  ``score`` is that of the
+best passage, below the threshold where only a part was found.
 
 The index is cut into parts of at most ``part_words`` words; each part is sent
 to the tasks once and passed over all documents, so no broadcast outgrows that
@@ -28,6 +33,7 @@ repeated doc_id are each judged on their own text.  Extra columns are ignored
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from collections.abc import Iterator
@@ -40,6 +46,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from quarry.llm.words import LOWER, WORD, bounds, column, lookup, sequence_hash, text_slices, words
 
 K1, B = 1.2, 0.75
+ANSWER = 8
 _SENTENCE_END = re.compile(r"[.?!](?:\s+|$)|\n")
 
 
@@ -78,14 +85,26 @@ class Index:
         self.weight = weight
         self.block_max = weight.reshape(len(weight), n_blocks, block).max(axis=2)
         self.top = self.block_max.max(axis=1) if n_blocks else np.zeros(len(weight), np.float32)
-        self.grams = []
+        self.grams, self.alone = [], []
         for _, t in items:
-            parts = []
+            parts, size = [], []
             for part in split_item(t):
                 h = _hashes(part)
                 n = min(ngram, len(h))
                 parts.append((n, np.unique(sequence_hash(h, n)) if n else np.zeros(0, np.uint64)))
+                size.append(len(h))
             self.grams.append(parts)
+            self.alone.append((size[1] > 0 and size[0] >= ngram, size[0] > 0 and size[1] >= max(ngram, ANSWER)))
+        # postings of the n-grams of parts that count alone
+        own = [(j, g) for j, (parts, alone) in enumerate(zip(self.grams, self.alone))
+               for (_, g), a in zip(parts, alone) if a]
+        self.part_item = np.array([j for j, _ in own], np.int64)
+        self.part_size = np.array([len(g) for _, g in own], np.int64)
+        keys = np.concatenate([g for _, g in own]) if own else np.zeros(0, np.uint64)
+        order = np.argsort(keys, kind="stable")
+        self.part_post = np.repeat(np.arange(len(own)), self.part_size)[order]
+        self.part_grams, first = np.unique(keys[order], return_index=True)
+        self.part_start = np.append(first, len(keys))
 
     def candidates(self, h, doc, n_docs: int, threshold: float):
         """(document, item column, best score) of passages at or above the threshold."""
@@ -142,17 +161,45 @@ class Index:
             first = stop
         return [(d, j, s) for (d, j), s in sorted(best.items()) if j < len(self.ids)]
 
-    def overlap(self, h, item: int):
-        """Share of the item's n-grams found in word hashes ``h``: (question, answer, both)."""
+    def parts_found(self, h, doc, min_overlap: float):
+        """(document, item) where enough n-grams of a part that counts alone occur."""
+        gram = sequence_hash(h, self.ngram)
+        if not len(gram) or not len(self.part_item):
+            return []
+        at = lookup(self.part_grams, gram)
+        used = np.flatnonzero((at >= 0) & (doc[:len(gram)] == doc[self.ngram - 1:]))
+        d, at = np.divmod(np.unique(doc[used] * np.int64(len(self.part_grams)) + at[used]), len(self.part_grams))
+        size = self.part_start[at + 1] - self.part_start[at]
+        post = np.repeat(self.part_start[at] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        key, hit = np.unique(np.repeat(d, size) * np.int64(len(self.part_item)) + self.part_post[post],
+                             return_counts=True)
+        d, part = np.divmod(key, len(self.part_item))
+        good = hit / self.part_size[part] >= min_overlap
+        return list(zip(d[good].tolist(), self.part_item[part[good]].tolist()))
+
+    def best_passage(self, h, item: int) -> float:
+        """Largest score of the item in a passage of word hashes ``h``."""
+        half, term = max(32, self.longest), lookup(self.terms, h)
+        count = max(1, -(-len(h) // half) - 1)
+        seen = (np.unique(term[p * half:(p + 2) * half if p < count - 1 else None]) for p in range(count))
+        return max(float(self.weight[t[t >= 0], item].sum()) for t in seen)
+
+    def overlap(self, item: int, grams_of):
+        """Share of the item's n-grams found in a text: (question, answer, both);
+        ``grams_of(n)`` gives the text's sorted n-grams."""
         found = total = 0
         shares = []
         for n, grams in self.grams[item]:
-            hit = int((lookup(np.unique(sequence_hash(h, n)), grams) >= 0).sum()) if n else 0
+            hit = int((lookup(grams_of(n), grams) >= 0).sum()) if n else 0
             shares.append(hit / len(grams) if len(grams) else None)
             found += hit
             total += len(grams)
         return shares[0], shares[1], found / total if total else 0.0
 
+    def leaked(self, item: int, shares, min_overlap: float) -> bool:
+        return shares[2] >= min_overlap or any(
+            a and x >= min_overlap for a, x in zip(self.alone[item], shares))
+
 
 def build_index(items: DataFrame, id_col: str = "item_id", part_words: int = 200_000,
                 part_items: int = 400, ngram: int = 5) -> list[Index]:
@@ -190,10 +237,15 @@ def _found(index: Index, texts, threshold: float, min_overlap: float):
         if not len(h):
             continue
         where = bounds(doc, b - a)
-        for d, j, score in index.candidates(h, doc, b - a, threshold):
-            q, ans, both = index.overlap(h[where[d]:where[d + 1]], j)
-            if both >= min_overlap:
-                yield a + d, index.ids[j], score, q, ans, both
+        scores = {(d, j): s for d, j, s in index.candidates(h, doc, b - a, threshold)}
+        last, grams_of = None, None
+        for d, j in sorted({*scores, *index.parts_found(h, doc, min_overlap)}):
+            if d != last:
+                last, own = d, h[where[d]:where[d + 1]]
+                grams_of = functools.cache(lambda n, own=own: np.unique(sequence_hash(own, n)))
+            shares = index.overlap(j, grams_of)
+            if index.leaked(j, shares, min_overlap):
+                yield a + d, index.ids[j], scores[d, j] if (d, j) in scores else index.best_passage(own, j), *shares
 
 
 def leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.4,

@@ -145,3 +145,23 @@ def test_leaks_edges(spark, nasty, no_docs):
     assert decontam.leaks(no_docs, items).count() == 0
     assert decontam.leaks(nasty, items.where("false")).count() == 0
     assert decontam.drop_leaked(nasty, items.where("false")).count() == nasty.count()
+
+
+def test_question_or_answer_alone_leaks(spark):
+    rnd = random.Random(8)
+    text = lambda n: " ".join(f"w{rnd.randrange(5000)}" for _ in range(n))
+    items = [(i, text(q) + ". " + text(a) + ".") for i, (q, a) in enumerate([(12, 40), (40, 12), (5, 30), (30, 6), (3, 30)])]
+    parts = [decontam.split_item(t) for _, t in items]
+    docs = [(10 * i + k, text(90) + " " + p + " " + text(300)) for i, own in enumerate(parts) for k, p in enumerate(own)]
+    # 70 % and 40 % of a question, and a bare question
+    words = parts[1][0].split()
+    docs += [(100, text(50) + " " + " ".join(words[:30])), (101, text(50) + " " + " ".join(words[:16])), (102, parts[0][0])]
+    rows = decontam.leaks(spark.createDataFrame(docs, "doc_id int, text string"),
+                          spark.createDataFrame(items, "item_id int, text string")).collect()
+    # parts of 6 and 3 words are too short to count alone
+    want = {(0, 0), (1, 0), (10, 1), (11, 1), (20, 2), (21, 2), (30, 3), (41, 4), (100, 1), (102, 0)}
+    assert {(r.doc_id, r.item_id) for r in rows} == want
+    assert {r.doc_id: r.question_overlap for r in rows}[0] == 1.0 and all(0 < r.score <= 1.0001 for r in rows)
+    kept = decontam.drop_leaked(spark.createDataFrame(docs, "doc_id int, text string"),
+                                spark.createDataFrame(items, "item_id int, text string"))
+    assert {r.doc_id for r in kept.collect()} == {31, 40, 101}
