@@ -2,10 +2,13 @@
 
 The automaton accepts every run of words of every template.  Streaming a
 document through it gives the matching statistics: the longest run that ends
-at each word and occurs in some template.  Runs that cannot be extended and
-have at least ``MIN_MATCH`` words are chained, per template, in the order of
-both texts; the share of a template's words that its best chain covers is its
+at each word and occurs in some template; suffix links lead on to the shorter
+runs of the other templates.  Runs that cannot be extended and have at least
+``MIN_MATCH`` words are a template's matches.  Its best chain is the largest
+set of word pairs out of its matches that increases in both texts, at any
+distance; the share of a template's words that the chain covers is its
 coverage.  A template covered by at least ``MIN_COVERAGE`` gives its label.
+The chain is a longest increasing subsequence, so it takes n log n steps.
 
 Four short phrases are looked for on their own ("base"): all places where
 their words stand consecutively.  A phrase is a template of its own that is
@@ -23,6 +26,7 @@ nothing: each row is scanned on its own.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +37,6 @@ from quarry.llm.words import LOWER, WORD, bounds, column, hash_text, lookup, spa
 
 MIN_MATCH = 6
 MIN_COVERAGE = 0.4
-MAX_GAP = 60
 
 # fixed values: phrases, labels and public licence notices
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -157,48 +160,53 @@ class Scanner:
         order = np.argsort(keys)
         self.keys = keys[order]
         number = {names[o]: i for i, o in enumerate(order)}
-        self.automaton = SuffixAutomaton([[number[w] for w in t] for t in texts], min_match)
+        self.sequences = [[number[w] for w in t] for t in texts]
+        self.automaton = SuffixAutomaton(self.sequences, min_match)
         self.phrases = [([np.uint64(hash_text(w)) for w in split_words(p)], label) for p, label in PHRASES.items()]
 
     def matches(self, run, start: int):
-        """Matches of at least ``min_match`` words that the next word does not extend:
-        (last word in the document, state, length)."""
-        before = None
-        for i, now in enumerate(self.automaton.statistics(run)):
-            if before and before[1] >= self.min_match and now[1] != before[1] + 1:
-                yield start + i - 1, *before
-            before = now
-        if before and before[1] >= self.min_match:
-            yield start + len(run) - 1, *before
+        """Matches of at least ``min_match`` words that cannot be extended:
+        (template, first word in the document, first word in the template, words)."""
+        auto = self.automaton
+        for i, (state, length) in enumerate(auto.statistics(run)):
+            seen: set[tuple[int, int]] = set()
+            while length >= self.min_match:
+                for k, pos in auto.places[state]:
+                    if (k, pos) not in seen:
+                        seen.add((k, pos))
+                        if run[i + 1:i + 2] != self.sequences[k][pos + 1:pos + 2] or i + 1 == len(run):
+                            yield k, start + i - length + 1, pos - length + 1, length
+                state = auto.link[state]
+                length = auto.length[state]
 
     def spans(self, found):
-        """Best chain per template: {template: (covered words, [(doc word, template word, words)])}.
-
-        A match joins the open chain of its template when it follows in both
-        texts within MAX_GAP document words; otherwise it opens a new chain.
-        """
+        """Best chain per template: {template: (covered words, [(doc word, template word, words)])}."""
+        pairs: dict[int, list[tuple[int, int]]] = {}
+        for k, d, t, n in found:
+            pairs.setdefault(k, []).extend((d + j, -(t + j)) for j in range(n))
         best: dict[int, tuple[int, list]] = {}
-        chain: dict[int, tuple[int, list]] = {}
-        for end, state, length in found:
-            ends: dict[int, list[int]] = {}
-            for k, pos in self.automaton.places[state]:
-                ends.setdefault(k, []).append(pos)
-            for k, stops in ends.items():
-                covered, parts = chain.get(k, (0, []))
-                if parts:
-                    d, t, n = parts[-1]
-                    gap = end - length + 1 - (d + n)
-                    after = [p for p in stops if p >= t + n]
-                    # a match may begin inside the one before it; only its new words count
-                    if gap <= MAX_GAP and after:
-                        p = min(after)
-                        new = min(length, p - (t + n) + 1, end - (d + n) + 1)
-                        if new > 0:
-                            chain[k] = (covered + new, [*parts, (end - new + 1, p - new + 1, new)])
-                            best[k] = max(best.get(k, (0, [])), chain[k], key=lambda c: c[0])
-                            continue
-                chain[k] = (length, [(end - length + 1, stops[0] - length + 1, length)])
-                best[k] = max(best.get(k, (0, [])), chain[k], key=lambda c: c[0])
+        for k, own in pairs.items():
+            # longest increasing subsequence; of one document word, later template words come first
+            own.sort()
+            ends: list[int] = []
+            at: list[int] = []
+            before: list[int] = []
+            for i, (_, t) in enumerate(own):
+                n = bisect_left(ends, -t)
+                ends[n:n + 1] = [-t]
+                before.append(at[n - 1] if n else -1)
+                at[n:n + 1] = [i]
+            i, chain = at[-1], []
+            while i >= 0:
+                chain.append((own[i][0], -own[i][1]))
+                i = before[i]
+            parts: list[tuple[int, int, int]] = []
+            for d, t in reversed(chain):
+                if parts and (d, t) == (parts[-1][0] + parts[-1][2], parts[-1][1] + parts[-1][2]):
+                    parts[-1] = (*parts[-1][:2], parts[-1][2] + 1)
+                else:
+                    parts.append((d, t, 1))
+            best[k] = len(chain), parts
         return best
 
     def scan(self, texts, min_coverage: float):

@@ -75,3 +75,47 @@ def test_edges(nasty, no_docs, docs_of):
     text = "MIT license mit LICENSE, cc-by cc by by"
     got = licenses.scan_licenses(docs_of([(1, text), (1, text)])).collect()
     assert [(r.n_base, r.first_word, r.last_word, r.base_labels, r.score) for r in got] == [(4, 0, 6, "cc-by,mit", 1.0)] * 2
+
+
+def test_parts_far_apart_and_stray_matches():
+    words = dict(licenses.TEMPLATES)["mit"].split()
+    n = len(words) // 3
+    parts = [words[:n], words[n:2 * n], words[2 * n:]]
+    other = [f"other{i}" for i in range(70)]
+    far = scan(" ".join([*parts[0], *other, *parts[1], *other, *parts[2]]))[0]
+    assert far["labels"] == "mit" and far["score"] == 1.0 and len(far["spans"]) == 3
+    stray = scan(" ".join([*parts[0], "xx", *parts[2][-8:], "xx", *parts[1], "xx", *parts[2]]))[0]
+    assert stray["labels"] == "mit" and stray["score"] == 1.0
+
+
+def test_best_chain_equals_brute_force():
+    rng = np.random.default_rng(6)
+    names = [f"n{i}" for i in range(5)]
+    templates = [(f"t{k}", " ".join(rng.choice(names, n))) for k, n in enumerate((25, 40, 12))]
+    templates.append(("inner", " ".join(templates[1][1].split()[5:17])))  # lies within another one
+    scanner = licenses.Scanner(templates, 4)
+    seqs = [t.split() for _, t in templates]
+    for _ in range(60):
+        doc = []
+        while len(doc) < 90:
+            s = seqs[rng.integers(len(seqs))]
+            i = rng.integers(len(s))
+            doc += s[i:i + rng.integers(2, 14)] + (["out"] if rng.random() < 0.3 else [])
+        row = list(scanner.scan(pa.array([" ".join(doc)]), 0.0))[0]
+        got = {}
+        for s in row["spans"]:
+            assert doc[s["doc_word"]:s["doc_word"] + s["words"]] == seqs[int(
+                [lab for lab, _ in templates].index(s["label"]))][s["template_word"]:s["template_word"] + s["words"]]
+            got[s["label"]] = got.get(s["label"], 0) + s["words"]
+        for (label, _), t in zip(templates, seqs):
+            # pairs of words inside common runs of four words, then the longest chain of them
+            ok = np.zeros((len(doc), len(t)), bool)
+            for i in range(len(doc) - 3):
+                for j in range(len(t) - 3):
+                    if doc[i:i + 4] == t[j:j + 4]:
+                        ok[range(i, i + 4), range(j, j + 4)] = True
+            best = np.zeros((len(doc) + 1, len(t) + 1), int)
+            for i in range(len(doc)):
+                for j in range(len(t)):
+                    best[i + 1, j + 1] = max(best[i, j + 1], best[i + 1, j], best[i, j] + ok[i, j])
+            assert got.get(label, 0) == best[-1, -1]
