@@ -409,50 +409,63 @@ class BinomialGLM:
 
         The coefficient is fixed through an offset, the rest refitted (each a
         distributed IRLS fit), and the bound where the deviance rises by the
-        chi-squared quantile is found by bisection between the Wald bound and
-        a widened bracket.
+        chi-squared quantile is found between the estimate and a widened
+        bracket by false position (Illinois) on the root of the rise, which is
+        nearly linear.  The intercept is fixed in the same way.
         """
         from pyspark.ml.regression import GeneralizedLinearRegression
         j = self.terms.index(term)
-        if j == 0:
-            raise ValueError("profile of the intercept is not supported")
         crit = 3.841458820694124 if level == 0.95 else _chi2_ppf1(level)
         base = self.summary.deviance
         names = self.names
         k = j - 1
         others = [i for i in range(len(names)) if i != k]
+        free = j > 0  # the intercept is fitted unless it is the fixed term
+        if not free and not others:
+            raise ValueError("profile of the intercept needs another term")
         d = self.design.withColumn("_arr", vector_to_array("_x"))
         from pyspark.ml.functions import array_to_vector
         d = d.withColumn("_xo", array_to_vector(F.array(*[F.col("_arr")[i] for i in others]))) \
             if others else d.withColumn("_xo", array_to_vector(F.array(F.lit(0.0))))
 
-        def dev(b: float) -> float:
-            m = GeneralizedLinearRegression(family="binomial", link="logit", featuresCol="_xo",
+        d = d.select("_y", "_arr", "_xo").persist()
+
+        def root(b: float) -> float:
+            m = GeneralizedLinearRegression(family="binomial", link="logit", featuresCol="_xo", fitIntercept=free,
                                             labelCol="_y", offsetCol="_off", maxIter=50, tol=1e-10).fit(
-                d.withColumn("_off", F.lit(float(b)) * F.col("_arr")[k]))
-            return m.summary.deviance - base - crit
+                d.withColumn("_off", F.lit(float(b)) * F.col("_arr")[k] if free else F.lit(float(b))))
+            return math.sqrt(max(0.0, m.summary.deviance - base)) - math.sqrt(crit)
 
         se = math.sqrt(self.cov[j, j])
         b0 = self.coef[j]
         out = []
         for sign in (-1, 1):
-            inner, outer = b0, b0 + sign * 2 * Z95 * se
+            inner, at_inner = b0, -math.sqrt(crit)
+            outer = b0 + sign * 2 * Z95 * se
             for _ in range(20):  # the deviance never rises on separable data: then there is no bound
-                if dev(outer) >= 0:
+                at_outer = root(outer)
+                if at_outer >= 0:
                     break
                 outer = b0 + (outer - b0) * 2
             else:
                 out.append(sign * math.inf)
                 continue
+            mid, side = outer, 0
             for _ in range(iters):
-                mid = (inner + outer) / 2
-                if dev(mid) < 0:
-                    inner = mid
-                else:
-                    outer = mid
-                if abs(outer - inner) < 1e-6 * max(1.0, abs(b0)):
+                mid = inner - at_inner * (outer - inner) / (at_outer - at_inner)
+                at_mid = root(mid)
+                if abs(at_mid) * se < 1e-6 * max(1.0, abs(b0)):
                     break
-            out.append((inner + outer) / 2)
+                if at_mid < 0:
+                    inner, at_inner = mid, at_mid
+                    at_outer = at_outer / 2 if side < 0 else at_outer
+                    side = -1
+                else:
+                    outer, at_outer = mid, at_mid
+                    at_inner = at_inner / 2 if side > 0 else at_inner
+                    side = 1
+            out.append(mid)
+        d.unpersist()
         return out[0], out[1]
 
 

@@ -104,8 +104,8 @@ def best_target_lineitem(spark, sf):
 
 @register("elastic_net_search_lineitem")
 def elastic_net_search_lineitem(spark, sf):
-    return L.elastic_net_search(table(spark, sf, "lineitem"), NUMERIC_LINE, ["l_orderkey"],
-                                sizes=(2, 3), alphas=(0.0, 0.01, 0.1), k=10)
+    return L.elastic_net_search(table(spark, sf, "lineitem"), [*NUMERIC_LINE, "l_linenumber"], ["l_orderkey"],
+                                sizes=(2, 3, 4), alphas=(0.0, 0.01, 0.1), k=10)
 
 
 # --------------------------------------------------- Gaussian NB
@@ -186,13 +186,16 @@ def random_forest_regression_orders(spark, sf):
                                    ev.evaluate(pred, {ev.metricName: "r2"}))], "rmse double, r2 double")
 
 
+GBT_SETTINGS = [(2, 2, 1.0), (15, 15, 1.0), (20, 20, 1.0), (35, 35, 1.0), (20, 20, 0.25), (20, 20, 0.5),
+                (20, 20, 2.0), (20, 20, 10.0), (25, 25, 0.5), (25, 25, 2.0), (100, 100, 0.25)]
+
+
 @register("boosted_trees_grid_orders")
 def boosted_trees_grid_orders(spark, sf):
-    """A grid of boosted trees; out-of-range depth is refused and an
-    out-of-range rate refused, and each row says so."""
+    """The reference's 11 settings of trees, depth and rate; those outside
+    Spark's ranges are refused, and each row says so."""
     df = _assembled(spark, sf)
-    settings = [{"trees": 10, "depth": 3, "rate": 0.1}, {"trees": 2, "depth": 35, "rate": 0.1},
-                {"trees": 10, "depth": 3, "rate": 2.0}]
+    settings = [{"trees": n, "depth": d, "rate": r} for n, d, r in GBT_SETTINGS]
     out = C.boosted_trees_grid(df.where("fold <> 0"), df.where("fold = 0"), "label", settings)
     return spark.createDataFrame([(r["trees"], r["depth"], r["rate"], r["status"], r["f1"], r["accuracy"])
                                   for r in out],
@@ -239,10 +242,10 @@ def glm_predict_orders(spark, sf):
 
 @register("glm_profile_confint_orders")
 def glm_profile_confint_orders(spark, sf):
-    """Profile-likelihood interval of the line-count coefficient."""
+    """Profile-likelihood interval of every coefficient."""
     g = _glm(spark, sf)
-    lo, hi = g.profile_confint("n_lines", iters=20)
-    return spark.createDataFrame([("n_lines", float(lo), float(hi))], "term string, lo double, hi double")
+    rows = [(t, *map(float, g.profile_confint(t))) for t in g.terms]
+    return spark.createDataFrame(rows, "term string, lo double, hi double")
 
 
 # -------------------------------------------------- normality

@@ -92,3 +92,45 @@ def test_gaussian_nb_params_are_group_moments(spark):
     assert math.isclose(p.mean, r[0], rel_tol=1e-12)
     assert math.isclose(p.var, r[1], rel_tol=1e-6)
     assert math.isclose(p.prior, r[2] / li.count(), rel_tol=1e-12)
+
+
+def test_grid_has_the_eleven_settings(spark, monkeypatch):
+    from quarry.plans import models
+    seen = []
+    fit = C.boosted_trees_grid
+    monkeypatch.setattr(C, "boosted_trees_grid", lambda train, test, label, settings: seen.extend(settings) or fit(
+        train, test, label, [s for s in settings if s["depth"] < 15 or s["depth"] > 30 or s["rate"] > 1]))
+    rows = models.boosted_trees_grid_orders(spark, SF_SMALL).collect()
+    assert len(seen) == 11 and sum(s["depth"] <= 30 and s["rate"] <= 1 for s in seen) == 6
+    assert [r.status for r in rows].count("ok") == 1 and len(rows) == 6
+    assert all((r.f1 is None) == (r.status != "ok") for r in rows)
+
+
+def test_profile_interval_of_intercept_and_slope(spark):
+    import random
+    rnd = random.Random(4)
+    rows = [(x, int(rnd.random() < 1 / (1 + math.exp(0.5 - x)))) for x in (rnd.uniform(-2, 2) for _ in range(150))]
+    g = C.BinomialGLM(spark.createDataFrame(rows, "x double, y int"), "y ~ x", "y")
+    x, y = np.array(rows).T
+
+    def deviance(fixed, value):
+        free, beta = 1 - fixed, np.zeros(2)
+        beta[fixed] = value
+        design = np.stack([np.ones_like(x), x])
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-beta @ design))
+            beta[free] += (design[free] @ (y - p)) / (design[free] ** 2 @ (p * (1 - p)))
+        p = 1 / (1 + np.exp(-beta @ design))
+        return -2 * (y * np.log(p) + (1 - y) * np.log(1 - p)).sum()
+    for j, term in enumerate(g.terms):
+        lo, hi = g.profile_confint(term)
+        assert lo < g.coef[j] < hi
+        for b in (lo, hi):
+            assert math.isclose(deviance(j, b) - g.summary.deviance, 3.841458820694124, rel_tol=1e-4)
+
+
+def test_elastic_net_search_has_subsets_of_four(spark):
+    from quarry.plans import models
+    rows = models.elastic_net_search_lineitem(spark, SF_SMALL).collect()
+    sizes = {len(r.features.split(",")) for r in rows}
+    assert sizes == {2, 3, 4} and sum(r.best for r in rows) == 5
