@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import bpe, bwtdedup, decontam, hmm, langid, licenses, linededup, neardup, toxicity, vptree
+from quarry.llm import (bpe, bwtdedup, decontam, divergence, hmm, intervals, langid, licenses, linededup, neardup, toxicity,
+                        urlfilter, vptree)
 from quarry.llm.common import documents, remainder, table
+from quarry.session import ensure_checkpoint_dir
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -83,8 +85,33 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir, "lang", "source"))
+
+
+#: fixed values: the rules of the URL filter, host, path and verdict
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list of addresses holds those that more than one row of ``pages`` gives."""
+    ensure_checkpoint_dir(spark)
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    repeated = (pages.groupBy(urlfilter.canonical(F.col("url")).alias("c"))
+                .agg(F.min("url").alias("url"), F.count("*").alias("n")).where("n >= 2").select("url"))
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urlfilter.filter_urls(pages, rules, repeated).select("page.page_id", "host", "path", "rule", "verdict", "listed")
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intervals.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_near_dedup, op2_nearest_vectors, op3_license_scan, op4_repeated_bytes, op5_hidden_markov, op6_language_id, op7_toxicity,
-                            op8_line_dedup, op9_byte_bpe, op10_decontamination)}
+                            op8_line_dedup, op9_byte_bpe, op10_decontamination, op11_source_divergence, op12_url_filter,
+                            op13_ranked_search)}
 
-ORACLE: dict[str, str] = {"op2_nearest_vectors": OP2_SQL, "op8_line_dedup": OP8_SQL}
+ORACLE: dict[str, str] = {"op2_nearest_vectors": OP2_SQL, "op8_line_dedup": OP8_SQL, "op11_source_divergence": divergence.SQL,
+                          "op12_url_filter": urlfilter.SQL, "op13_ranked_search": intervals.SQL}
