@@ -169,10 +169,10 @@ def random_forest_regressor(df: DataFrame, label: str, features: str = "features
 
 
 def random_forest_classifier(df: DataFrame, label: str, features: str = "features",
-                             trees: int = 20, weight: str | None = None, seed: int = 42):
+                             trees: int = 20, weight: str | None = None, seed: int = 42, depth: int = 5):
     """Random forest classifier, optionally with balanced weights."""
     from pyspark.ml.classification import RandomForestClassifier
-    rf = RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=trees, seed=seed)
+    rf = RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=trees, maxDepth=depth, seed=seed)
     if weight:
         rf.setWeightCol(weight)
     return rf.fit(df)
