@@ -184,36 +184,6 @@ def feature_importance(model, names: Sequence[str]) -> list[tuple[str, float]]:
     return sorted(zip(names, map(float, imp)), key=lambda t: -t[1])
 
 
-GBT_MAX_DEPTH = 30
-
-
-def boosted_trees_grid(train: DataFrame, test: DataFrame, label: str, settings: Sequence[dict],
-                       features: str = "features", seed: int = 42) -> list[dict]:
-    """One gradient-boosted-trees fit per setting (trees, depth, rate).
-
-    A depth above Spark's limit and a rate outside (0, 1] are refused; each
-    output row says so.  Returns rows with F1 / accuracy.
-    """
-    from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    out = []
-    for s in settings:
-        trees, depth, rate = s["trees"], s["depth"], s["rate"]
-        if not (0 < rate <= 1):
-            out.append({**s, "status": "refused: rate outside (0, 1]", "f1": None, "accuracy": None})
-            continue
-        if depth > GBT_MAX_DEPTH:
-            out.append({**s, "status": f"refused: depth above {GBT_MAX_DEPTH}", "f1": None, "accuracy": None})
-            continue
-        m = GBTClassifier(labelCol=label, featuresCol=features, maxIter=trees, maxDepth=depth,
-                          stepSize=rate, seed=seed).fit(train)
-        pred = m.transform(test)
-        f1 = MulticlassClassificationEvaluator(labelCol=label, metricName="f1").evaluate(pred)
-        acc = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy").evaluate(pred)
-        out.append({**s, "status": "ok", "f1": f1, "accuracy": acc})
-    return out
-
-
 def cross_validate(estimator, grid: dict, evaluator, df: DataFrame, fold_col: str,
                    k: int | None = None, parallelism: int = 2):
     """Grid x folds with the folds given as a column; the grid is built on

@@ -15,6 +15,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators import boosting as B
 from quarry.operators import classify as C
 from quarry.operators import linear as L
 from quarry.operators import stats as S
@@ -186,20 +187,20 @@ def random_forest_regression_orders(spark, sf):
                                    ev.evaluate(pred, {ev.metricName: "r2"}))], "rmse double, r2 double")
 
 
-GBT_SETTINGS = [(2, 2, 1.0), (15, 15, 1.0), (20, 20, 1.0), (35, 35, 1.0), (20, 20, 0.25), (20, 20, 0.5),
-                (20, 20, 2.0), (20, 20, 10.0), (25, 25, 0.5), (25, 25, 2.0), (100, 100, 0.25)]
+#: fixed values: (trees, depth, rate) of the grid
+BOOST_SETTINGS = [(2, 2, 1.0), (15, 15, 1.0), (20, 20, 1.0), (35, 35, 1.0), (20, 20, 0.25), (20, 20, 0.5),
+                  (20, 20, 2.0), (20, 20, 10.0), (25, 25, 0.5), (25, 25, 2.0), (100, 100, 0.25)]
 
 
 @register("boosted_trees_grid_orders")
 def boosted_trees_grid_orders(spark, sf):
-    """The reference's 11 settings of trees, depth and rate; those outside
-    Spark's ranges are refused, and each row says so."""
-    df = _assembled(spark, sf)
-    settings = [{"trees": n, "depth": d, "rate": r} for n, d, r in GBT_SETTINGS]
-    out = C.boosted_trees_grid(df.where("fold <> 0"), df.where("fold = 0"), "label", settings)
-    return spark.createDataFrame([(r["trees"], r["depth"], r["rate"], r["status"], r["f1"], r["accuracy"])
-                                  for r in out],
-                                 "trees int, depth int, rate double, status string, f1 double, accuracy double")
+    """All 11 settings of trees, depth and rate, fitted together and scored on held-out orders."""
+    df = _folds(order_features(spark, sf))
+    settings = [{"trees": n, "depth": d, "rate": r} for n, d, r in BOOST_SETTINGS]
+    model = B.fit_grid(df.where("fold <> 0"), "label", ORDER_FEATURES, settings)
+    grid = spark.createDataFrame([(k, *s) for k, s in enumerate(BOOST_SETTINGS)], "setting int, trees int, depth int, rate double")
+    # eleven rows
+    return F.broadcast(grid).join(B.grid_report(model, df.where("fold = 0"), "label"), "setting").drop("setting")
 
 
 # ------------------------------------------------ GLM inference
