@@ -10,15 +10,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import RFormula, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.numeric import logistic
-
 MAX_CLASSES = 10_000
 
 
@@ -271,174 +268,6 @@ def _chi2_sf(x: float, df: int) -> float:
     return math.exp(-xx + a * math.log(xx) - math.lgamma(a)) * h
 
 
-class BinomialGLM:
-    """Logit model with categorical dummies and its inference.
-
-    ``formula`` is an R-style formula; string factors use the first level
-    (alphabetical) as reference, as R does.  The fit is Spark's IRLS
-    ``GeneralizedLinearRegression``; the covariance matrix is the inverse of
-    ``sum(mu (1 - mu) x x')``, one aggregate over the design vectors.
-    """
-
-    def __init__(self, df: DataFrame, formula: str, label: str):
-        from pyspark.ml.regression import GeneralizedLinearRegression
-        rf = RFormula(formula=formula, featuresCol="_x", labelCol="_y",
-                      stringIndexerOrderType="alphabetDesc", handleInvalid="skip")
-        self.rf_model = rf.fit(df)
-        self.design = self.rf_model.transform(df)
-        self.names = [a["name"] for a in sorted(
-            self.design.schema["_x"].metadata["ml_attr"]["attrs"].get("numeric", []) +
-            self.design.schema["_x"].metadata["ml_attr"]["attrs"].get("binary", []),
-            key=lambda a: a["idx"])]
-        glr = GeneralizedLinearRegression(family="binomial", link="logit", featuresCol="_x",
-                                          labelCol="_y", maxIter=50, tol=1e-10)
-        self.model = glr.fit(self.design)
-        self.summary = self.model.summary
-        self.coef = np.concatenate([[self.model.intercept], self.model.coefficients.toArray()])
-        self.terms = ["(Intercept)", *self.names]
-        self.cov = self._covariance()
-
-    def _covariance(self) -> np.ndarray:
-        p = len(self.coef)
-        x = F.concat(F.array(F.lit(1.0)), vector_to_array("_x"))
-        eta = F.lit(float(self.coef[0]))
-        for j in range(1, p):
-            eta = eta + F.lit(float(self.coef[j])) * F.col("_a")[j]
-        mu = logistic(eta)
-        d = self.design.select(x.alias("_a")).withColumn("_w", mu * (1 - mu))
-        aggs = [F.sum(F.col("_w") * F.col("_a")[i] * F.col("_a")[j]).alias(f"s{i}_{j}")
-                for i in range(p) for j in range(i, p)]
-        row = d.agg(*aggs).first()  # p (p + 1) / 2 sums
-        info = np.zeros((p, p))
-        for i in range(p):
-            for j in range(i, p):
-                info[i, j] = info[j, i] = row[f"s{i}_{j}"]
-        return np.linalg.inv(info)
-
-    def coefficients(self) -> list[tuple]:
-        """(term, estimate, std_error, z, p_value)."""
-        se = np.sqrt(np.diag(self.cov))
-        return [(t, float(b), float(s), float(b / s), float(2 * _norm_sf(abs(b / s))))
-                for t, b, s in zip(self.terms, self.coef, se)]
-
-    def confint_wald(self, level: float = 0.95) -> list[tuple]:
-        """Estimate +- z * SE (R's ``confint.default``)."""
-        z = Z95 if level == 0.95 else _norm_ppf(0.5 + level / 2)
-        se = np.sqrt(np.diag(self.cov))
-        return [(t, float(b - z * s), float(b + z * s)) for t, b, s in zip(self.terms, self.coef, se)]
-
-    def odds_ratios(self, level: float = 0.95) -> list[tuple]:
-        """Exp of the estimates and of the Wald bounds."""
-        return [(t, math.exp(b), math.exp(lo), math.exp(hi))
-                for (t, lo, hi), b in zip(self.confint_wald(level), self.coef)]
-
-    def wald_test(self, terms: Sequence[str] | None = None, contrast: Sequence[float] | None = None):
-        """Joint test that the named coefficients are 0, or that ``contrast``
-        . b = 0.  Returns (chi2, df, p_value)."""
-        if contrast is not None:
-            L = np.atleast_2d(np.asarray(contrast, dtype=float))
-        else:
-            idx = [self.terms.index(t) for t in terms]
-            L = np.zeros((len(idx), len(self.coef)))
-            for r, i in enumerate(idx):
-                L[r, i] = 1.0
-        lb = L @ self.coef
-        chi2 = float(lb @ np.linalg.inv(L @ self.cov @ L.T) @ lb)
-        return chi2, L.shape[0], _chi2_sf(chi2, L.shape[0])
-
-    def lr_test(self) -> dict:
-        """Null deviance - deviance on df, its p value, log likelihood, AIC."""
-        s = self.summary
-        diff = s.nullDeviance - s.deviance
-        df = s.residualDegreeOfFreedomNull - s.residualDegreeOfFreedom
-        return {"null_deviance": s.nullDeviance, "deviance": s.deviance, "chi2": diff, "df": int(df),
-                "p_value": _chi2_sf(diff, int(df)), "log_likelihood": -s.deviance / 2, "aic": s.aic}
-
-    def predict_with_se(self, grid: DataFrame, level: float = 0.95) -> DataFrame:
-        """Probability and its band for each row of ``grid`` (same columns
-        as the training data): ``logistic(eta +- z sqrt(x' V x))`` with V broadcast
-        as literals (p x p)."""
-        g = self.rf_model.transform(grid)
-        z = Z95 if level == 0.95 else _norm_ppf(0.5 + level / 2)
-        a = F.concat(F.array(F.lit(1.0)), vector_to_array("_x"))
-        p = len(self.coef)
-        eta = sum((F.lit(float(self.coef[j])) * F.col("_a")[j] for j in range(1, p)), F.lit(float(self.coef[0])))
-        var = None
-        for i in range(p):
-            for j in range(p):
-                t = F.lit(float(self.cov[i, j])) * F.col("_a")[i] * F.col("_a")[j]
-                var = t if var is None else var + t
-        out = g.withColumn("_a", a).withColumn("fit", eta).withColumn("se_fit", F.sqrt(var))
-        return (out.withColumn("prob", logistic(F.col("fit")))
-                .withColumn("prob_lo", logistic(F.col("fit") - z * F.col("se_fit")))
-                .withColumn("prob_hi", logistic(F.col("fit") + z * F.col("se_fit")))
-                .drop("_a", "_x"))
-
-    def profile_confint(self, term: str, level: float = 0.95, iters: int = 30) -> tuple[float, float]:
-        """Profile-likelihood interval for one coefficient.
-
-        The coefficient is fixed through an offset, the rest refitted (each a
-        distributed IRLS fit), and the bound where the deviance rises by the
-        chi-squared quantile is found between the estimate and a widened
-        bracket by false position (Illinois) on the root of the rise, which is
-        nearly linear.  The intercept is fixed in the same way.
-        """
-        from pyspark.ml.regression import GeneralizedLinearRegression
-        j = self.terms.index(term)
-        crit = 3.841458820694124 if level == 0.95 else _chi2_ppf1(level)
-        base = self.summary.deviance
-        names = self.names
-        k = j - 1
-        others = [i for i in range(len(names)) if i != k]
-        free = j > 0  # the intercept is fitted unless it is the fixed term
-        if not free and not others:
-            raise ValueError("profile of the intercept needs another term")
-        d = self.design.withColumn("_arr", vector_to_array("_x"))
-        from pyspark.ml.functions import array_to_vector
-        d = d.withColumn("_xo", array_to_vector(F.array(*[F.col("_arr")[i] for i in others]))) \
-            if others else d.withColumn("_xo", array_to_vector(F.array(F.lit(0.0))))
-
-        d = d.select("_y", "_arr", "_xo").persist()
-
-        def root(b: float) -> float:
-            m = GeneralizedLinearRegression(family="binomial", link="logit", featuresCol="_xo", fitIntercept=free,
-                                            labelCol="_y", offsetCol="_off", maxIter=50, tol=1e-10).fit(
-                d.withColumn("_off", F.lit(float(b)) * F.col("_arr")[k] if free else F.lit(float(b))))
-            return math.sqrt(max(0.0, m.summary.deviance - base)) - math.sqrt(crit)
-
-        se = math.sqrt(self.cov[j, j])
-        b0 = self.coef[j]
-        out = []
-        for sign in (-1, 1):
-            inner, at_inner = b0, -math.sqrt(crit)
-            outer = b0 + sign * 2 * Z95 * se
-            for _ in range(20):  # the deviance never rises on separable data: then there is no bound
-                at_outer = root(outer)
-                if at_outer >= 0:
-                    break
-                outer = b0 + (outer - b0) * 2
-            else:
-                out.append(sign * math.inf)
-                continue
-            mid, side = outer, 0
-            for _ in range(iters):
-                mid = inner - at_inner * (outer - inner) / (at_outer - at_inner)
-                at_mid = root(mid)
-                if abs(at_mid) * se < 1e-6 * max(1.0, abs(b0)):
-                    break
-                if at_mid < 0:
-                    inner, at_inner = mid, at_mid
-                    at_outer = at_outer / 2 if side < 0 else at_outer
-                    side = -1
-                else:
-                    outer, at_outer = mid, at_mid
-                    at_inner = at_inner / 2 if side > 0 else at_inner
-                    side = 1
-            out.append(mid)
-        d.unpersist()
-        return out[0], out[1]
-
-
 def _norm_ppf(p: float) -> float:
     lo, hi = -40.0, 40.0
     for _ in range(200):

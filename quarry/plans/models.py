@@ -34,16 +34,19 @@ def order_features(spark, sf) -> DataFrame:
         F.count(F.lit(1)).cast("double").alias("n_lines"), F.sum("l_quantity").alias("sum_qty"),
         F.avg("l_discount").alias("avg_discount"), F.avg("l_tax").alias("avg_tax"))
     o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
-    j = o.join(li, o.o_orderkey == li.l_orderkey, "left").drop("l_orderkey").na.fill(
-        0.0, ["n_lines", "sum_qty", "avg_discount", "avg_tax"])  # an order without lines has zeros
+    j = o.join(li, o.o_orderkey == li.l_orderkey, "left").drop("l_orderkey")
+    bare = F.col("n_lines").isNull()  # an order without lines has zeros; one with lines keeps a missing average
+    j = j.select("o_orderkey", "o_totalprice", "o_orderpriority",
+                 *[F.when(bare, 0.0).otherwise(F.col(c)).alias(c) for c in ORDER_FEATURES])
     mean = table(spark, sf, "orders").agg(F.avg("o_totalprice")).scalar()
     return j.withColumn("label", (F.col("o_totalprice") > mean).cast("double"))
 
 
 ORDER_FEATURES_SQL = """
 of AS (SELECT o_orderkey, o_totalprice, o_orderpriority, CAST(count(l_orderkey) AS DOUBLE) AS n_lines,
-              coalesce(sum(l_quantity), 0) AS sum_qty, coalesce(avg(l_discount), 0) AS avg_discount,
-              coalesce(avg(l_tax), 0) AS avg_tax,
+              CASE WHEN count(l_orderkey) = 0 THEN 0 ELSE sum(l_quantity) END AS sum_qty,
+              CASE WHEN count(l_orderkey) = 0 THEN 0 ELSE avg(l_discount) END AS avg_discount,
+              CASE WHEN count(l_orderkey) = 0 THEN 0 ELSE avg(l_tax) END AS avg_tax,
               CAST(o_totalprice > (SELECT avg(o_totalprice) FROM orders) AS DOUBLE) AS label
        FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL)
 """
@@ -203,52 +206,6 @@ def boosted_trees_grid_orders(spark, sf):
     return F.broadcast(grid).join(B.grid_report(model, df.where("fold = 0"), "label"), "setting").drop("setting")
 
 
-# ------------------------------------------------ GLM inference
-
-GLM_FORMULA = "label ~ n_lines + avg_discount + o_orderpriority"
-
-
-def _glm(spark, sf) -> C.BinomialGLM:
-    return C.BinomialGLM(order_features(spark, sf), GLM_FORMULA, "label")
-
-
-@register("glm_coefficients_orders")
-def glm_coefficients_orders(spark, sf):
-    g = _glm(spark, sf)
-    rows = [(*c, lo, hi, orr) for c, (_, lo, hi), (_, orr, _, _) in
-            zip(g.coefficients(), g.confint_wald(), g.odds_ratios())]
-    return spark.createDataFrame(rows, "term string, estimate double, std_error double, z double, "
-                                       "p_value double, ci_lo double, ci_hi double, odds_ratio double")
-
-
-@register("glm_tests_orders")
-def glm_tests_orders(spark, sf):
-    """M20 + M23: Wald test of the priority dummies and the likelihood-ratio test."""
-    g = _glm(spark, sf)
-    prio = [t for t in g.terms if t.startswith("o_orderpriority")]
-    chi2, df, p = g.wald_test(prio)
-    lr = g.lr_test()
-    return spark.createDataFrame(
-        [("wald_priority", chi2, df, p), ("likelihood_ratio", lr["chi2"], lr["df"], lr["p_value"])],
-        "test string, chi2 double, df int, p_value double")
-
-
-@register("glm_predict_orders")
-def glm_predict_orders(spark, sf):
-    """Fitted probability with its 95 % band for every order."""
-    g = _glm(spark, sf)
-    return g.predict_with_se(order_features(spark, sf)).select(
-        "o_orderkey", "fit", "se_fit", "prob", "prob_lo", "prob_hi")
-
-
-@register("glm_profile_confint_orders")
-def glm_profile_confint_orders(spark, sf):
-    """Profile-likelihood interval of every coefficient."""
-    g = _glm(spark, sf)
-    rows = [(t, *map(float, g.profile_confint(t))) for t in g.terms]
-    return spark.createDataFrame(rows, "term string, lo double, hi double")
-
-
 # -------------------------------------------------- normality
 
 @register("fit_normal_events", """

@@ -3,10 +3,12 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from quarry.operators import classify as C
+from quarry.operators import glm as G
 from quarry.operators import linear as L
 from quarry.operators import stats as S
 from quarry.operators.sample import kfold
@@ -55,18 +57,31 @@ def test_f_tail_closed_forms():
         assert math.isclose(L.f_sf(f, 2, 10), (1 + 2 * f / 10) ** -5, rel_tol=1e-9)
 
 
-def test_glm_standard_errors_equal_spark_summary(spark):
+def test_glm_equals_spark_summary(spark):
+    from pyspark.ml.feature import RFormula
+    from pyspark.ml.regression import GeneralizedLinearRegression
     o = table(spark, SF_SMALL, "orders").withColumn(
         "label", (F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).cast("double")).withColumn(
         "price", F.col("o_totalprice") / 1e5)
-    g = C.BinomialGLM(o, "label ~ price + o_orderstatus", "label")
-    spark_se = list(g.summary.coefficientStandardErrors)  # features first, intercept last
+    g = G.BinomialGLM(o, "label", ["price", "o_orderstatus"])
+    x = RFormula(formula="label ~ price + o_orderstatus", stringIndexerOrderType="alphabetDesc", labelCol="y").fit(o).transform(o)
+    s = GeneralizedLinearRegression(family="binomial", labelCol="y", tol=1e-12, maxIter=50).fit(x)
+    price, status_p, status_o = s.coefficients  # levels in descending order
+    assert np.allclose(g.coef, [s.intercept, price, status_o, status_p], rtol=1e-6)
+    spark_se = [list(s.summary.coefficientStandardErrors)[k] for k in (0, 2, 1, 3)]  # intercept last
     ours = [se for _, _, se, _, _ in g.coefficients()]
-    assert np.allclose(ours[1:], spark_se[:-1], rtol=1e-5)
-    assert math.isclose(ours[0], spark_se[-1], rel_tol=1e-5)
+    assert np.allclose(ours, [spark_se[-1], *spark_se[:-1]], rtol=1e-5)
+    t = g.lr_test()
+    assert math.isclose(t["deviance"], s.summary.deviance, rel_tol=1e-9) and math.isclose(t["aic"], s.summary.aic, rel_tol=1e-9)
+    assert math.isclose(t["null_deviance"], s.summary.nullDeviance, rel_tol=1e-9) and t["df"] == 3
     chi2, df, p = g.wald_test([g.terms[1]])
     z = g.coefficients()[1][3]
     assert df == 1 and math.isclose(chi2, z * z, rel_tol=1e-9)
+    a, b = g.wald_test(["o_orderstatus_O", "o_orderstatus_P"]), g.wald_test(contrast=[[0, 0, 1, 0], [0, 0, 0, 1]])
+    assert a == b
+    one = g.wald_test(contrast=[0, 0, 1, -1])
+    want = (g.coef[2] - g.coef[3]) ** 2 / (g.cov[2, 2] + g.cov[3, 3] - 2 * g.cov[2, 3])
+    assert one[1] == 1 and math.isclose(one[0], want, rel_tol=1e-9)
 
 
 def test_ks_distance_equals_spark_statistic(spark):
@@ -105,7 +120,7 @@ def test_profile_interval_of_intercept_and_slope(spark):
     import random
     rnd = random.Random(4)
     rows = [(x, int(rnd.random() < 1 / (1 + math.exp(0.5 - x)))) for x in (rnd.uniform(-2, 2) for _ in range(150))]
-    g = C.BinomialGLM(spark.createDataFrame(rows, "x double, y int"), "y ~ x", "y")
+    g = G.BinomialGLM(spark.createDataFrame(rows, "x double, y int"), "y", ["x"])
     x, y = np.array(rows).T
 
     def deviance(fixed, value):
@@ -117,11 +132,29 @@ def test_profile_interval_of_intercept_and_slope(spark):
             beta[free] += (design[free] @ (y - p)) / (design[free] ** 2 @ (p * (1 - p)))
         p = 1 / (1 + np.exp(-beta @ design))
         return -2 * (y * np.log(p) + (1 - y) * np.log(1 - p)).sum()
-    for j, term in enumerate(g.terms):
-        lo, hi = g.profile_confint(term)
-        assert lo < g.coef[j] < hi
+    for j, (_, lo, hi, converged) in enumerate(g.profile_confint()):
+        assert converged and lo < g.coef[j] < hi
         for b in (lo, hi):
-            assert math.isclose(deviance(j, b) - g.summary.deviance, 3.841458820694124, rel_tol=1e-4)
+            assert math.isclose(deviance(j, b) - g.deviance, 3.841458820694124, rel_tol=1e-4)
+    assert g.profile_passes <= 30
+
+
+def test_glm_missing_values_unseen_levels_and_separation(spark):
+    rows = [(float(i % 7), "a" if i % 3 else "b", float((i * 7 % 11) > 4)) for i in range(60)] + [(None, "a", 1.0), (1.0, None, 0.0), (1.0, "a", None)]
+    df = spark.createDataFrame(rows, "x double, f string, y double")
+    g = G.BinomialGLM(df, "y", ["x", "f"])
+    assert g.n == 60 and g.terms == ["(Intercept)", "x", "f_b"]
+    new = spark.createDataFrame([(1, 2.0, "a"), (2, None, "a"), (3, 2.0, "zz"), (4, 2.0, None)], "id int, x double, f string")
+    out = {r.id: r for r in g.predict_with_se(new).collect()}
+    assert len(out) == 4 and out[1].prob_lo < out[1].prob < out[1].prob_hi
+    assert all(out[k].prob is None and out[k].se_fit is None for k in (2, 3, 4))
+    with pytest.raises(ValueError):
+        G.BinomialGLM(df.where("false"), "y", ["x"])
+    # one side has no bound: every b has y = 1
+    apart = spark.createDataFrame([("a", float(i % 2)) for i in range(30)] + [("b", 1.0)] * 10, "f string, y double")
+    s = G.BinomialGLM(apart, "y", ["f"], max_passes=12)
+    (_, lo, hi, _) = s.profile_confint()[1]
+    assert not s.converged and 0 < lo < s.coef[1] and hi > 10
 
 
 def test_elastic_net_search_has_subsets_of_four(spark):
