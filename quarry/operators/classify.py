@@ -12,7 +12,6 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -203,33 +202,7 @@ def cross_validate(estimator, grid: dict, evaluator, df: DataFrame, fold_col: st
     return model, points
 
 
-def cv_scores(estimator, df: DataFrame, label: str, fold_col: str, score: str = "probability",
-              k: int | None = None) -> DataFrame:
-    """Per-fold F1 and AUROC of models trained on the other folds.
-
-    Predictions of all folds are unioned and scored by grouped aggregates
-    (one pass), returning (fold, n, f1, auroc).
-    """
-    from quarry.operators import evaluate as E
-    folds = [r[0] for r in df.select(fold_col).distinct().collect()]
-    preds = None
-    for f in sorted(folds):
-        m = estimator.fit(df.where(F.col(fold_col) != f))
-        p = m.transform(df.where(F.col(fold_col) == f)).select(
-            F.lit(f).alias("fold"), F.col(label).cast("double").alias("_y"),
-            F.col("prediction").cast("double").alias("_p"),
-            vector_to_array(score)[1].alias("_s"))
-        preds = p if preds is None else preds.unionByName(p)
-    out = []
-    for f in sorted(folds):
-        one = preds.where(F.col("fold") == f)
-        rep = {r["class"]: r for r in E.classification_report(one, "_y", "_p").collect()}
-        auc = E.auroc(one, "_y", "_s").first()["auroc"]
-        out.append((int(f), int(rep["accuracy"]["support"]), float(rep["weighted avg"]["f1"]), float(auc)))
-    return df.sparkSession.createDataFrame(out, "fold int, n long, f1 double, auroc double")
-
-
-# -------------------------------------------------------------------- GLM
+# ------------------------------------------------------------ tail probabilities
 
 Z95 = 1.959963984540054
 

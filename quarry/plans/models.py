@@ -131,15 +131,6 @@ def gaussian_nb_params_orders(spark, sf):
     return C.gaussian_nb_fit(order_features(spark, sf), "label", ORDER_FEATURES)
 
 
-@register("gaussian_nb_accuracy_orders")
-def gaussian_nb_accuracy_orders(spark, sf):
-    df = _folds(order_features(spark, sf))
-    train, test = df.where("fold <> 0"), df.where("fold = 0")
-    pred = C.gaussian_nb_predict(C.gaussian_nb_fit(train, "label", ORDER_FEATURES), test)
-    return pred.agg(F.count(F.lit(1)).alias("n"),
-                    F.avg((F.col("prediction").cast("double") == F.col("label")).cast("double")).alias("accuracy"))
-
-
 # ------------------------------------------- Spark ML classifiers
 
 def _assembled(spark, sf):
@@ -161,14 +152,6 @@ def logistic_cv_orders(spark, sf):
     return spark.createDataFrame(rows, "reg_param double, elastic_net double, mean_auroc double")
 
 
-@register("cv_scores_orders")
-def cv_scores_orders(spark, sf):
-    """Per-fold F1 and AUROC of a logistic model."""
-    from pyspark.ml.classification import LogisticRegression
-    est = LogisticRegression(labelCol="label", featuresCol="features", regParam=0.01, maxIter=50)
-    return C.cv_scores(est, _assembled(spark, sf), "label", "fold")
-
-
 @register("random_forest_importance_orders")
 def random_forest_importance_orders(spark, sf):
     """M15 + M8: weighted random forest classifier, importances by input name."""
