@@ -43,6 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_type
 
+from quarry.llm.common import filter_rows
 from quarry.llm.words import LOWER, WORD, bounds, column, lookup, sequence_hash, text_slices, words
 
 K1, B = 1.2, 0.75
@@ -281,11 +282,10 @@ def drop_leaked(docs: DataFrame, items: DataFrame, threshold: float = 0.4,
     for index in build_index(items):
         sent = docs.sparkSession.sparkContext.broadcast(index)
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                good = np.ones(batch.num_rows, bool)
-                for at, *_ in _found(sent.value, column(batch, "text"), threshold, min_overlap):
-                    good[at] = False
-                yield batch.filter(pa.array(good))
-        docs = docs.mapInArrow(run, docs.schema)
+        def judge(texts, sent=sent):
+            good = np.ones(len(texts), bool)
+            for at, *_ in _found(sent.value, texts, threshold, min_overlap):
+                good[at] = False
+            return good
+        docs = filter_rows(docs, judge)
     return docs

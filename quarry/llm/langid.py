@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from quarry.llm.common import filter_rows
 from quarry.llm.words import LOWER, column, text_slices
 
 WIDTHS = (2, 3, 4)
@@ -205,12 +206,9 @@ def keep_identified(docs: DataFrame, net: ByteNet | None, min_score: float = 0.4
                     window: int = 256) -> DataFrame:
     """The rows, with all their columns, whose language was identified.  Without a
     network (nothing to learn from) every text with a letter is kept."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs, scores = _judge(net, column(batch, "text"), window)
-            if net is None:
-                good = [_LETTER.search(t or "") is not None for t in column(batch, "text").to_pylist()]
-            else:
-                good = [x != UNDETERMINED and s >= min_score for x, s in zip(langs, scores)]
-            yield batch.filter(pa.array(good, pa.bool_()))
-    return docs.mapInArrow(run, docs.schema)
+    def judge(texts):
+        if net is None:
+            return [_LETTER.search(t or "") is not None for t in texts.to_pylist()]
+        langs, scores = _judge(net, texts, window)
+        return [x != UNDETERMINED and s >= min_score for x, s in zip(langs, scores)]
+    return filter_rows(docs, judge)

@@ -11,7 +11,8 @@ partitions AQE splits.
 Defined results: a null or empty text is one empty line.  Rows with a null id
 take no part: their lines are neither counted nor dropped.  Rows that repeat
 an id count as one document; each of them loses its own lines.  A document
-that loses all lines keeps an empty text.  Other columns are kept as they are.
+that loses all lines keeps an empty text.  Other columns are kept as they are, whatever
+their names.  Very long texts are split whole; a line of any length is known by the 128 bits of its hash.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import materialize, row_key
+from quarry.llm.common import materialize, named, row_key
 
 #: bytes that count as white space at the ends of a line
 SPACE = "\t\n\x0b\x0c\r "
@@ -47,7 +48,7 @@ def line_dedup(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> DataF
               .where(F.col("n") >= min_docs).select("k", "keep"))
     drops = (lines.join(shared, "k").where(F.col("d") != F.col("keep"))
              .groupBy("d", "h").agg(F.collect_set("p").alias("drop")))
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").alias("d0"),
+    rows = docs.select(F.struct(*map(named, docs.columns)).alias("doc"), F.col("doc_id").alias("d0"),
                        row_key("text").alias("h0"))
     out = rows.join(drops, (F.col("d0") == F.col("d")) & (F.col("h0") == F.col("h")), "left")
     # the split text is a column of its own that is read more than once, so that the

@@ -31,7 +31,8 @@ hot bucket or link are sort-merge joins that AQE may split.
 
 Defined results: one row per document (doc_id, class_id): the smallest doc_id
 of its class.  Texts without words (null, empty) are not alike: each is its own
-class.  Rows with a null id take no part and have no row in the result.  Rows
+class.  Ids are whole numbers.  Texts are hashed whole, whatever their length.
+Rows with a null id take no part and have no row in the result.  Rows
 that repeat an id are one document: any of its texts can link it.  If they stay
 unlike it has one row per distinct class.  Extra columns are ignored.
 """
@@ -343,9 +344,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     return out.join(size, "class_id").select("doc_id", "class_id", "class_size")
 
 
+#: a name of its own, so that no column of the documents clashes with it
+FREE = "quarry copy of a smaller id"
+
+
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows, with all their columns, but for those of documents that are near
     copies of a document with a smaller id.  Rows with a null id stay."""
     gone = near_duplicates(docs, threshold).groupBy("doc_id").agg(F.min("class_id").alias("c")).where(
-        "c <> doc_id").select(F.col("doc_id").alias("copy_of_smaller_id"))
-    return docs.join(gone, docs["doc_id"] == F.col("copy_of_smaller_id"), "left_anti")
+        "c <> doc_id").select(F.struct(F.col("doc_id").alias("id")).alias(FREE))
+    return docs.join(gone, docs["doc_id"] == gone[FREE]["id"], "left_anti")

@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import materialize
+from quarry.llm.common import materialize, named
 from quarry.llm.linededup import LOWER, UPPER
 
 BLOCK_BITS, BITS_PER_KEY, WORDS = 256, 16, 4
@@ -147,7 +147,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, addresses: DataFrame, defaul
             .select("url", F.explode(_lookups(shapes)).alias("key")))
     found = (possible(urls, filter_, blocks).join(exact, "key").groupBy("url").agg(
         F.max(F.struct("weight", "verdict", "rule")).alias("best"), F.min("weight.kind").alias("least")))
-    rows = pages.select(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in pages.columns]).alias("page"),
+    rows = pages.select(F.struct(*map(named, pages.columns)).alias("page"),
                         F.coalesce("url", F.lit("")).alias("url"))
     return rows.join(found, "url", "left").select(
         "page", host_of(url).alias("host"), path_of(url).alias("path"), F.col("best.rule").alias("rule"),

@@ -3,14 +3,15 @@
 import pytest
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
-          "d long, h long, k string, p int, drop string, line string, score double, doc string")
+          "d long, h long, k string, p int, drop string, line string, score double, doc string, "
+          "`a.b` int, copy_of_smaller_id long")
 
 
 @pytest.fixture(scope="session")
 def docs_of(spark):
     """Documents with extra columns whose names the operators use inside."""
     def make(rows):
-        full = [(i, t, None, "s", None if t is None else len(t), 1, 2, "x", 3, "y", "z", 0.5, "w")
+        full = [(i, t, None, "s", None if t is None else len(t), 1, 2, "x", 3, "y", "z", 0.5, "w", 4, 5)
                 for i, t in rows]
         return spark.createDataFrame(full, SCHEMA)
     return make
