@@ -38,7 +38,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(F.col("n_dropped") > 0, F.char_length(text)).otherwise(
             F.col("doc.n_chars")).cast(docs.schema["n_chars"].dataType)
-    return out.select(*[new[c].alias(c) if c in new else F.col(f"doc.`{c}`") for c in docs.columns])
+    quoted = {c: c.replace("`", "``") for c in docs.columns}
+    return out.select(*[new[c].alias(c) if c in new else F.col(f"doc.`{quoted[c]}`").alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
