@@ -9,33 +9,35 @@ the token rows into id lists and into the decoded bytes.  A piece that is a toke
 in the usual encoders.
 
 The merge table follows from the rank file: tokens x and y merge into the
-token spelt xy, with its rank.  It is built once per Python worker; pieces are
-cached up to ``CACHE`` entries.  Nothing is shuffled.
+token spelt xy, with its rank.  It is built once per Python worker.  Pieces are
+kept in two generations: when the young one is full (in entries or in characters)
+it becomes the old one, and what is met again moves to the new young one, so that
+frequent pieces stay and memory stays bounded.  Nothing is shuffled.
 
 Defined results: a null text is the empty text and has no ids.  Rows with a
 null id and repeated rows are encoded like any other; extra columns are
-ignored (``encode``) or kept (``round_trip``).
+ignored.  Texts are taken whole, whatever their length; a word of more than ``LONG``
+bytes is contracted on its own, over the merges that can occur in it, and its time
+grows faster than its length.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from collections.abc import Iterator
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 from quarry.llm.words import column
 
-#: pieces and chunks kept per Python worker, and pieces sent to one recursive query
-CACHE = 400_000
-BLOCK = 60_000
-
-_WIDE_SPACE = re.compile(r" \s|\s ")
+#: entries and characters of one generation of the caches, and pieces sent to one recursive query
+CACHE, CACHE_CHARS = 250_000, 16 << 20
+BLOCK = 30_000
 
 #: pieces of more bytes than this take the query that contracts several pairs a step
 LONG = 256
@@ -73,7 +75,7 @@ WITH RECURSIVE r AS (
   (WITH pair AS (
      SELECT o.piece, o.pos, o.tok, m.id
      FROM (SELECT *, lead(tok) OVER (PARTITION BY piece ORDER BY pos) AS nxt FROM r WHERE NOT last) o
-     LEFT JOIN merges m ON m.xy = o.tok::BIGINT * 4294967296 + o.nxt),
+     LEFT JOIN own m ON m.xy = o.tok::BIGINT * 4294967296 + o.nxt),
    best AS (
      SELECT *, min(id) OVER (PARTITION BY piece) AS low,
             row_number() OVER (PARTITION BY piece ORDER BY pos) AS n FROM pair),
@@ -98,14 +100,40 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+class Cache:
+    """Pieces to ids as text in two generations.  A piece's decoded bytes are compared with its own
+    when it is put in, and kept only where they differ."""
+
+    def __init__(self):
+        self.ids: dict[str, str] = {}
+        self.odd: dict[str, bytes] = {}
+        self.old: dict[str, str] = {}
+        self.chars = 0
+
+    def missing(self, wanted: set[str]) -> set[str]:
+        """Which pieces are not known; those of the old generation become young again."""
+        if len(self.ids) > CACHE or self.chars > CACHE_CHARS:
+            self.old, self.ids, self.chars = self.ids, {}, 0
+        absent = wanted.difference(self.ids)
+        for p in absent.intersection(self.old):
+            self.ids[p] = self.old[p]
+            self.chars += len(p)
+        return absent.difference(self.old)
+
+    def put(self, piece: str, raw: bytes, ids: str, decoded: bytes) -> None:
+        self.ids[piece] = ids
+        self.chars += len(piece)
+        if decoded != raw:
+            self.odd[piece] = decoded
+
+
 class Encoder:
-    """Pieces to (ids as text, number of ids, decoded bytes)."""
+    """Texts to (ids as text, number of ids, decoded bytes)."""
 
     def __init__(self, ranks_path: str, pattern: str):
         self.ranks = load_ranks(ranks_path)
         self.find = regex.compile(pattern).findall
-        self.pieces: dict[str, tuple[str, int, bytes]] = {}
-        self.known: dict[str, tuple[str, int, bytes]] = {}
+        self.pieces = Cache()
         self.con = duckdb.connect(":memory:", config={
             "threads": "1", "memory_limit": "450MB", "temp_directory": ""})
         self.con.execute("SET preserve_insertion_order=false")
@@ -128,16 +156,14 @@ class Encoder:
         self.con.unregister("arrow_in")
 
     def _contract(self, pieces: list[tuple[str, bytes]], query: str) -> None:
-        single = [self.ranks[bytes([b])] for b in range(256)]
-        piece, pos, tok = [], [], []
-        for k, (_, raw) in enumerate(pieces):
-            piece.extend([k] * len(raw))
-            pos.extend(range(len(raw)))
-            tok.extend([single[b] for b in raw])
-        self._table("start", {"piece": pa.array(piece, pa.int32()), "pos": pa.array(pos, pa.int32()),
-                              "tok": pa.array(tok, pa.int32())})
-        for k, ids, n, hexed in self.con.execute(query).fetchall():
-            self.pieces[pieces[k][0]] = (ids, n, bytes.fromhex(hexed))
+        single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        size = np.array([len(raw) for _, raw in pieces])
+        start = np.cumsum(size) - size
+        self._table("start", {"piece": pa.array(np.repeat(np.arange(len(pieces), dtype=np.int32), size)),
+                              "pos": pa.array((np.arange(size.sum()) - np.repeat(start, size)).astype(np.int32)),
+                              "tok": pa.array(single[np.frombuffer(b"".join([raw for _, raw in pieces]), np.uint8)])})
+        for k, ids, _, hexed in self.con.execute(query).fetchall():
+            self.pieces.put(*pieces[k], ids, bytes.fromhex(hexed))
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode new pieces by the recursive queries."""
@@ -146,44 +172,29 @@ class Encoder:
             raw = p.encode()
             whole = self.ranks.get(raw)
             if whole is not None:
-                self.pieces[p] = (str(whole), 1, raw)
+                self.pieces.put(p, raw, str(whole), raw)
             else:
                 (short if len(raw) <= LONG else long).append((p, raw))
         for i in range(0, len(short), BLOCK):
             self._contract(short[i:i + BLOCK], _SHORT)
-        for p in long:
-            self._contract([p], _LONG)
-
-    def _chunks(self, text: str | None) -> list[str]:
-        """Cut a text before every single space between two other characters.  No match of the
-        pattern crosses such a place, and the space opens the next match, so chunks are matched on
-        their own, and equal ones once.  A text with longer white space around a space is one chunk."""
-        if not text:
-            return []
-        if text[0] == " " or text[-1] == " " or _WIDE_SPACE.search(text):
-            return [text]
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
+        for p, raw in long:
+            # a merge can occur only if the bytes of its token do
+            found = [rank for token, rank in self.ranks.items() if token in raw]
+            self._table("found", {"id": pa.array(found, pa.int32())})
+            self.con.execute("CREATE OR REPLACE TEMP TABLE own AS SELECT * FROM merges SEMI JOIN found USING (id)")
+            self._contract([(p, raw)], _LONG)
 
     def encode(self, texts: list[str | None]):
         """For each text: ids joined by commas, number of ids, decoded bytes."""
-        cut = [self._chunks(t) for t in texts]
-        now = set().union(*cut) if cut else set()
-        if len(self.known) + len(now) > CACHE:  # keep what is in use
-            self.known = {c: self.known[c] for c in now if c in self.known}
-        new = {c: self.find(c) for c in now if c not in self.known}
-        wanted = set().union(*new.values()) if new else set()
-        if len(self.pieces) + len(wanted) > CACHE:
-            self.pieces = {p: self.pieces[p] for p in wanted if p in self.pieces}
-        self._learn(sorted(wanted.difference(self.pieces)))
-        for c, parts in new.items():
-            got = [self.pieces[p] for p in parts]
-            self.known[c] = got[0] if len(got) == 1 else (
-                ",".join([g[0] for g in got]), sum([g[1] for g in got]), b"".join([g[2] for g in got]))
-        for chunks in cut:
-            if chunks:
-                ids, n, raw = zip(*map(self.known.__getitem__, chunks))
-                yield ",".join(ids), sum(n), b"".join(raw)
+        cut = [self.find(t) if t else [] for t in texts]
+        self._learn(sorted(self.pieces.missing(set().union(*cut))))
+        ids, odd = self.pieces.ids.__getitem__, self.pieces.odd
+        for t, own in zip(texts, cut):
+            if own:
+                text = ",".join(map(ids, own))
+                # every piece decodes to its own bytes, or is known not to; the pattern may leave text out
+                whole = sum(map(len, own)) == len(t) and (not odd or odd.keys().isdisjoint(own))
+                yield text, text.count(",") + 1, t.encode() if whole else b"".join([odd.get(p, p.encode()) for p in own])
             else:
                 yield "", 0, b""
 

@@ -46,6 +46,29 @@ def test_bpe_hard_pieces(library):
         assert raw == (t or "").encode()
 
 
+def test_bpe_long_words(library):
+    """Unspaced words of some KB, and a text of many long ones."""
+    import random
+    rnd = random.Random(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    texts = ["".join(rnd.choice(letters) for _ in range(n)) for n in (3_000, 8_000)]
+    texts += ["ab" * 10_000, "".join(chr(rnd.randrange(0x4E00, 0x9FA0)) for _ in range(1_500)), " ".join(t[:700] for t in texts)]
+    enc = bpe.encoder(PATH, public_tokenizers.PATTERN)
+    for t, (ids, n, raw) in zip(texts, enc.encode(texts)):
+        want = library.encode_ordinary(t)
+        assert [int(x) for x in ids.split(",")] == want and n == len(want) and raw == t.encode()
+
+
+def test_bpe_generations(library, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE", 3)
+    enc = bpe.Encoder(PATH, public_tokenizers.PATTERN)
+    texts = [f"xqj{k} zqxw{k % 4} the {k % 3}qq" for k in range(40)]
+    for t in texts + texts:
+        (ids, _, raw), = enc.encode([t])
+        assert [int(x) for x in ids.split(",")] == library.encode_ordinary(t) and raw == t.encode()
+    assert len(enc.pieces.ids) + len(enc.pieces.old) < 30
+
+
 def test_bpe_edges(nasty, no_docs):
     out = bpe.encode(nasty, PATH, public_tokenizers.PATTERN, with_ids=True).collect()
     assert len(out) == nasty.count()
