@@ -241,9 +241,10 @@ def shape(df: DataFrame) -> DataFrame:
         "n_cols", F.lit(len(df.columns)).cast("bigint"))
 
 
-def tally(df: DataFrame, group: str, value: str, values: Sequence) -> DataFrame:
-    """Occurrences of each value per group, one column per value."""
-    return df.groupBy(group).pivot(value, list(values)).agg(F.count(F.lit(1))).na.fill(0)
+def tally(df: DataFrame, group: str, value: str, values: Sequence | None = None) -> DataFrame:
+    """Occurrences of each value per group, one column per value; all values of the data, unless
+    ``values`` names the ones wanted."""
+    return crosstab(df, group, value, values)
 
 
 def group_means(df: DataFrame, group: str, value: str) -> DataFrame:

@@ -12,7 +12,6 @@ from quarry.session import table
 
 LINE_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
 def _describe_sql(tbl: str, cols: list[str], by: str | None = None) -> str:
@@ -88,12 +87,13 @@ def class_balance_lineitem(spark, sf):
 
 
 @register("crosstab_flag_status", """
-SELECT l_returnflag, count(*) FILTER (WHERE l_linestatus = 'F') AS "F",
-       count(*) FILTER (WHERE l_linestatus = 'O') AS "O"
-FROM lineitem GROUP BY l_returnflag
+PIVOT (SELECT l_returnflag, coalesce(l_linestatus, 'null') AS l_linestatus FROM lineitem)
+ON l_linestatus USING count(*) GROUP BY l_returnflag
 """)
 def crosstab_flag_status(spark, sf):
-    return agg.crosstab(table(spark, sf, "lineitem"), "l_returnflag", "l_linestatus", ["F", "O"])
+    """Every level of the data is a column; a missing one counts as the level 'null'."""
+    li = table(spark, sf, "lineitem").withColumn("l_linestatus", F.coalesce("l_linestatus", F.lit("null")))
+    return agg.crosstab(li, "l_returnflag", "l_linestatus")
 
 
 def _pair_sql(fn: str, name: str) -> str:
@@ -138,11 +138,13 @@ def shape_lineitem(spark, sf):
     return agg.shape(table(spark, sf, "lineitem"))
 
 
-@register("tally_events", "SELECT user_id, " + ", ".join(
-    f"count(*) FILTER (WHERE event_type = '{t}') AS {t}" for t in EVENT_TYPES)
-    + " FROM events GROUP BY user_id")
+@register("tally_events", """
+PIVOT (SELECT user_id, coalesce(event_type, 'null') AS event_type FROM events) ON event_type USING count(*) GROUP BY user_id
+""")
 def tally_events(spark, sf):
-    return agg.tally(table(spark, sf, "events"), "user_id", "event_type", EVENT_TYPES)
+    """Every event type of the data is a column; a missing one counts as 'null'."""
+    ev = table(spark, sf, "events").withColumn("event_type", F.coalesce("event_type", F.lit("null")))
+    return agg.tally(ev, "user_id", "event_type")
 
 
 @register("group_means_events", """

@@ -250,24 +250,45 @@ def _sql_norm_ppf(p: str) -> str:
             f"ELSE {central} END)")
 
 
-@register("shapiro_francia_events", f"""
-WITH b AS (SELECT user_id % 10 AS bucket, CAST(value AS DOUBLE) AS x, event_id AS k FROM events
-           WHERE value IS NOT NULL),
-r AS (SELECT bucket, x, row_number() OVER (PARTITION BY bucket ORDER BY x, k) - 1 AS i,
-             count(*) OVER (PARTITION BY bucket) AS nn FROM b),
-m AS (SELECT bucket, x, {_sql_norm_ppf("((i + 1 - 0.375) / (nn + 0.25))")} AS m FROM r),
-g AS (SELECT bucket, count(*) AS n, corr(x, m) * corr(x, m) AS w FROM m GROUP BY bucket),
-z AS (SELECT *, (ln(1.0 - w) - (-1.2725 + 1.0521 * (ln(ln(CAST(n AS DOUBLE))) - ln(CAST(n AS DOUBLE)))))
-               / (1.0308 - 0.26758 * (ln(ln(CAST(n AS DOUBLE))) + 2.0 / ln(CAST(n AS DOUBLE)))) AS z FROM g),
-p AS (SELECT bucket, n, w, CASE WHEN n >= 5 AND n <= 5000 AND w < 1 THEN 1.0 - {_sql_norm_cdf("z")} END AS p_value
-      FROM z)
+def _sql_anderson_darling_p(a: str) -> str:
+    """DuckDB twin of :func:`quarry.operators.stats.anderson_darling_p`."""
+    e = [f"exp({c[0]!r} + {c[1]!r} * {a} + {c[2]!r} * {a} * {a})" for _, c in S.AD_PIECES]
+    return (f"(CASE WHEN {a} >= {S.AD_FAR!r} THEN {S.AD_LEAST!r} WHEN {a} >= 0.6 THEN {e[0]} WHEN {a} >= 0.34 THEN {e[1]} "
+            f"WHEN {a} >= 0.2 THEN 1.0 - {e[2]} ELSE 1.0 - {e[3]} END)")
+
+
+def _sql_ln(p: str) -> str:
+    return f"ln(greatest({p}, {S.TINY!r}))"
+
+
+def _normality_sql(bucket: str) -> str:
+    return f"""
+WITH b AS (SELECT {bucket} AS bucket, CAST(value AS DOUBLE) AS x, event_id AS k FROM events WHERE value IS NOT NULL),
+f AS (SELECT bucket, count(*) AS nn, avg(x) AS mean, stddev_samp(x) AS sd FROM b GROUP BY bucket),
+r AS (SELECT bucket, x, (x - mean) / nullif(sd, 0) AS z, nn, row_number() OVER (PARTITION BY bucket ORDER BY x, k) - 1 AS i
+      FROM b JOIN f USING (bucket)),
+m AS (SELECT *, {_sql_norm_ppf("((i + 1 - 0.375) / (nn + 0.25))")} AS m,
+             (2 * i + 1) * {_sql_ln(_sql_norm_cdf("z"))} + (2 * (nn - i) - 1) * {_sql_ln(_sql_norm_cdf("(-z)"))} AS t FROM r),
+g AS (SELECT bucket, count(*) AS n, corr(x, m) * corr(x, m) AS w, -CAST(count(*) AS DOUBLE) - sum(t) / count(*) AS a2 FROM m GROUP BY bucket),
+s AS (SELECT *, a2 * (1.0 + 0.75 / n + 2.25 / (CAST(n AS DOUBLE) * n)) AS a FROM g),
+p AS (SELECT bucket, n, w, a2, 'anderson-darling' AS test, CASE WHEN n >= 8 THEN {_sql_anderson_darling_p("a")} END AS p_value FROM s)
 SELECT *, p_value < 0.01 AS reject FROM p
-""", {"w": SIG6, "p_value": SIG6})
+"""
+
+
+@register("shapiro_francia_events", _normality_sql("user_id % 10"), {"w": SIG6, "a2": SIG6, "p_value": SIG6})
 def shapiro_francia_events(spark, sf):
     ev = table(spark, sf, "events").withColumn("bucket", F.col("user_id") % 10)
     return S.shapiro_francia(ev, "value", "event_id", by=["bucket"])
 
 
+@register("normality_all_events", _normality_sql("0"), {"w": SIG6, "a2": SIG6, "p_value": SIG6})
+def normality_all_events(spark, sf):
+    """M25 on the whole table as one group."""
+    ev = table(spark, sf, "events").withColumn("bucket", F.lit(0))
+    return S.shapiro_francia(ev, "value", "event_id", by=["bucket"])
+
+
 # ------------------------------------------------ attention pooling
 
 @register("attention_pool_embeddings", """
