@@ -12,7 +12,8 @@ The merge table follows from the rank file: tokens x and y merge into the
 token spelt xy, with its rank.  It is built once per Python worker.  Pieces are
 kept in two generations: when the young one is full (in entries or in characters)
 it becomes the old one, and what is met again moves to the new young one, so that
-frequent pieces stay and memory stays bounded.  Nothing is shuffled.
+frequent pieces stay and memory stays bounded; a task's pieces go with the task.
+Nothing is shuffled.
 
 Defined results: a null text is the empty text and has no ids.  Rows with a
 null id and repeated rows are encoded like any other; extra columns are
@@ -33,7 +34,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from quarry.llm.words import column
+from quarry.llm.words import column, text_slices
 
 #: entries and characters of one generation of the caches, and pieces sent to one recursive query
 CACHE, CACHE_CHARS = 250_000, 16 << 20
@@ -135,7 +136,7 @@ class Encoder:
         self.find = regex.compile(pattern).findall
         self.pieces = Cache()
         self.con = duckdb.connect(":memory:", config={
-            "threads": "1", "memory_limit": "450MB", "temp_directory": ""})
+            "threads": "1", "memory_limit": "450MB", "temp_directory": "", "allocator_flush_threshold": "4MB"})
         self.con.execute("SET preserve_insertion_order=false")
         x, y, ids = [], [], []
         for token, rank in self.ranks.items():
@@ -210,18 +211,6 @@ def encoder(ranks_path: str, pattern: str) -> Encoder:
     return _encoders[key]
 
 
-def _groups(texts: list[str | None], chars: int = 4_000_000):
-    """Runs of texts of a few MB: what is held at once does not follow the batch size."""
-    first = size = 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
-        if size >= chars:
-            yield texts[first:i + 1]
-            first, size = i + 1, 0
-    if first < len(texts):
-        yield texts[first:]
-
-
 def encode(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids, decoded]) per row.
 
@@ -235,10 +224,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = Fals
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(ranks_path, pattern)
         for batch in batches:
-            texts = column(batch, "text").to_pylist()
+            texts = column(batch, "text")
             n, ids_sha, dec_sha, ids, decoded = [], [], [], [], []
-            for group in _groups(texts):
-                for text, count, raw in enc.encode(group):
+            for first, last, _, _ in text_slices(texts):  # what is held at once does not follow the batch's size
+                for text, count, raw in enc.encode(texts.slice(first, last - first).to_pylist()):
                     n.append(count)
                     ids_sha.append(hashlib.sha256(text.encode()).hexdigest())
                     dec_sha.append(hashlib.sha256(raw).hexdigest())
@@ -250,4 +239,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = Fals
             if with_ids:
                 out |= {"ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.binary())}
             yield pa.RecordBatch.from_pydict(out)
+        # the merge table stays with the worker, the pieces of this task make room for other work
+        enc.pieces = Cache()
+        pa.default_memory_pool().release_unused()
     return docs.select("doc_id", "text").mapInArrow(run, schema)
