@@ -40,6 +40,11 @@ HEADLINE = [
     "char_ngrams_by_language",
     "classify_language_top3",
     "unigram_perplexity_documents",
+    "text_multinomial_nb_report",
+    "oof_report_orders",
+    "glm_profile_confint_orders",
+    "attention_pool_embeddings",
+    "shapiro_francia_events",
 ]
 
 

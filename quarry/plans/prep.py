@@ -12,7 +12,7 @@ from quarry.operators import features as X
 from quarry.operators import window as W
 from quarry.operators.classify import index_categories, one_hot
 from quarry.operators.project import rank_desc
-from quarry.operators.reconcile import reconcile
+from quarry.operators.reconcile import reconcile, reconcile_many
 from quarry.operators.sample import hash_split
 from quarry.plans.registry import SIG, register
 from quarry.plans.sqlhelp import sql_hash_unit
@@ -157,6 +157,41 @@ def reconcile_order_totals(spark, sf):
     return reconcile(a, b, ["orderkey"], "reported", "recomputed", tol=0.01)
 
 
+_YEARLY = """
+WITH s AS (
+  SELECT o_custkey AS custkey, 'orders' AS source, avg(o_totalprice) AS v FROM orders WHERE year(o_orderdate) >= 1995 GROUP BY 1
+  UNION ALL
+  SELECT o_custkey, 'lines', avg(x) FROM (
+    SELECT o_orderkey, o_custkey, sum(l_extendedprice * (1 - l_discount) * (1 + l_tax)) AS x
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE year(o_orderdate) >= 1995 GROUP BY ALL) GROUP BY 1
+  UNION ALL
+  SELECT c_custkey, 'balance', avg(c_acctbal) FROM customer GROUP BY 1
+), w AS (
+  SELECT custkey, max(v) FILTER (source = 'orders') AS orders, max(v) FILTER (source = 'lines') AS lines,
+         max(v) FILTER (source = 'balance') AS balance, count(v) AS n_sources, min(v) AS lo, max(v) AS hi FROM s GROUP BY custkey
+)
+SELECT custkey, orders, lines, balance, n_sources,
+       concat_ws(',', CASE WHEN orders IS NULL THEN 'orders' END, CASE WHEN lines IS NULL THEN 'lines' END,
+                 CASE WHEN balance IS NULL THEN 'balance' END) AS missing,
+       abs(hi / CASE WHEN lo <> 0 THEN lo END - 1) * 100 AS spread_pct,
+       CASE WHEN n_sources < 2 THEN 'single' WHEN hi - lo <= 0.01 * abs(lo) THEN 'match' ELSE 'differs' END AS status FROM w
+"""
+
+
+@register("reconcile_three_sources", _YEARLY, {"orders": SIG, "lines": SIG, "balance": SIG, "spread_pct": 6})
+def reconcile_three_sources(spark, sf):
+    """J1 with three sources: a customer's mean order since 1995 as reported, as recomputed from the lines,
+    and the account balance; customers that only one source knows stay."""
+    o = table(spark, sf, "orders").where(F.year("o_orderdate") >= 1995)
+    li = table(spark, sf, "lineitem").select("l_orderkey", (
+        F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("x"))
+    lines = (o.join(li, o.o_orderkey == li.l_orderkey).groupBy("o_orderkey", "o_custkey").agg(F.sum("x").alias("x"))
+             .groupBy(F.col("o_custkey").alias("custkey")).agg(F.avg("x").alias("v")))
+    sources = {"orders": o.groupBy(F.col("o_custkey").alias("custkey")).agg(F.avg("o_totalprice").alias("v")), "lines": lines,
+               "balance": table(spark, sf, "customer").groupBy(F.col("c_custkey").alias("custkey")).agg(F.avg("c_acctbal").alias("v"))}
+    return reconcile_many(sources, ["custkey"], "v", tol=0.01)
+
+
 # ------------------------------------------------------- text to rows
 
 @register("text_to_rows_documents", """
@@ -197,7 +232,8 @@ def pipe_table_region_report(spark, sf):
 
 # ------------------------------------------------ claim audit
 
-_CLAIM_REPLACEMENTS = [(":", ","), ("/", ","), ("=", ",")]
+#: fixed values: separators of a claim line and what stands for them, in their order
+_CLAIM_REPLACEMENTS = [(":", ","), ("=", ","), ("/", ",")]
 _CLAIM_SQL_BASE = """
 WITH o AS (SELECT c_nationkey, count(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey
            GROUP BY c_nationkey),

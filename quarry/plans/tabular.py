@@ -39,7 +39,7 @@ SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'
 """)
 def orders_since_1998(spark, sf):
     o = table(spark, sf, "orders")
-    return o.where(F.col("o_orderdate") >= F.lit("1998-01-01 00:00:00").cast("timestamp_ntz"))
+    return P.since(o, "o_orderdate", F.lit("1998-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 _CUST_ORDERS = """

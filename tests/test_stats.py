@@ -55,3 +55,15 @@ def test_pivot_levels_come_from_the_data(spark):
     rows = {r.g: r.asDict() for r in agg.tally(df, "g", "v").collect()}
     assert rows["a"]["x"] == 1 and rows["a"]["new"] == 0 and rows["b"]["new"] == 1
     assert set(agg.tally(df, "g", "v", ["x"]).columns) == {"g", "x"}
+
+
+def test_three_sources_are_reconciled(spark):
+    from quarry.operators.reconcile import reconcile_many
+    one = lambda rows: spark.createDataFrame(rows, "k string, v double")
+    out = {r.k: r for r in reconcile_many({"a": one([("x", 100.0), ("y", 1.0), ("z", 0.0)]), "b": one([("x", 100.5), ("y", 2.0), ("z", 0.0)]),
+                                           "c": one([("x", 100.2), ("w", 5.0), ("z", None)])}, ["k"], "v").collect()}
+    assert len(out) == 4
+    assert (out["x"].status, out["x"].missing, out["x"].n_sources) == ("match", "", 3)
+    assert (out["y"].status, out["y"].missing) == ("differs", "c") and out["y"].spread_pct == pytest.approx(100)
+    assert (out["w"].status, out["w"].missing) == ("single", "a,b") and out["w"].c == 5.0
+    assert out["z"].status == "match" and out["z"].spread_pct is None
