@@ -21,8 +21,8 @@ J = sum over common d of 1 / sum over d' of max(x[d'] / x[d], y[d'] / y[d]).
    shingles that no other open node holds), and nodes along their sizes: a few
    pairs a node.  What then still spans components is compared again: every node
    outside the bucket's largest component against the nodes of other components,
-   but for pairs whose counts already rule out the threshold (``possible``).  No
-   pair that could be a link goes unseen.  Dense groups just below the threshold
+   but for pairs whose counts already rule out the threshold (``possible``); a
+   pair is met in one bucket only.  No pair that could be a link goes unseen.  Dense groups just below the threshold
    stay quadratic in what the bounds leave.
 
 With 24 bands of 5 registers a pair at J = 0.8 shares a band with probability
@@ -52,6 +52,8 @@ from quarry.llm.words import bounds, column, mix, sequence_hash, text_slices, wo
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
+#: links for each task of a round of components
+LINKS = 100_000
 _LOCAL_BITS = 14
 
 
@@ -203,18 +205,20 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node of ``links`` (a, b): root is the smallest node of
     its connected component.  Alternates large-star and small-star steps: each
     round hangs neighbours below the smallest node seen, until nothing moves."""
+    # few links need few tasks and files: a task for every ``LINKS`` of them
+    parts = max(1, -(-links.count() // LINKS))
     edges = saved(links.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u"))
-                  .where("v <> u").distinct())
+                  .where("v <> u").coalesce(parts).distinct().coalesce(parts))
     state = None
     while True:
         both = edges.select("v", "u").unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
         low = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
         large = (both.where("u > v").join(low, "v").select(F.col("u").alias("v"), F.col("m").alias("u"))
-                 .where("v <> u").distinct())
+                 .where("v <> u").coalesce(parts).distinct().coalesce(parts))
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(low, "v").select(F.when(F.col("u") == F.col("m"), F.col("v")).otherwise(F.col("u")).alias("v"),
-                                            F.col("m").alias("u")).where("v <> u").distinct()
-        edges = saved(small)
+                                            F.col("m").alias("u")).where("v <> u").coalesce(parts).distinct()
+        edges = saved(small.coalesce(parts))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(20,0)"))).first()
         if now == state:
             break
@@ -326,11 +330,15 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     shape = spread.join(far, ["node", "centre"], "left").select(
         "b", "node", F.struct("total", "alone", "plain", common.alias("common")).alias("shape"))
     open_ = saved(open_buckets(spread.select("b", "node"), root).join(shape, ["b", "node"]))
+    # a pair is met in the first bucket that it shares; the bounds of any one bucket hold
+    mine = open_.groupBy("node").agg(F.collect_set("b").alias("bs"))
+    open_ = open_.join(mine, "node")
     other = open_.select("b", F.col("node").alias("y"), F.col("root").alias("ry"), F.col("main").alias("m2"),
-                         F.col("shape").alias("sy"))
+                         F.col("shape").alias("sy"), F.col("bs").alias("by"))
     rest = (open_.where("root <> main").select("b", F.col("node").alias("x"), F.col("root").alias("rx"),
-                                               F.col("shape").alias("sx"))
+                                               F.col("shape").alias("sx"), F.col("bs").alias("bx"))
             .join(other, "b").where("rx <> ry AND (ry = m2 OR x < y)").where(possible("sx", "sy", threshold))
+            .where(F.array_min(F.array_intersect("bx", "by")) == F.col("b"))
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
             .join(pairs.unionByName(seen.select("a", "b")), ["a", "b"], "left_anti"))
     more = saved(verify(saved(rest), sets, threshold).select("a", "b"))
