@@ -1,10 +1,11 @@
 """Descriptive aggregates.
 
-Every statistic is one partial/final aggregate per pass.  Exact quantiles do
-not buffer a column inside one task: values are first counted (map-side
-combine, so a hot value is one row), the (value, count) table is numbered in
-a range-partitioned global order, and only the rows at the wanted ranks are
-kept.  ``exact=False`` switches to ``percentile_approx`` sketches.
+Every statistic is one partial/final aggregate per pass.  Exact quantiles take
+two scans: sketches bracket every wanted rank, then values outside the brackets
+are counted by the gap they fall in and only those inside are counted one by one
+(map-side combine, so a hot value is one row).  The rows left are numbered in a
+range-partitioned global order and those at the wanted ranks are kept.
+``exact=False`` returns the sketches' values.
 """
 
 from __future__ import annotations
@@ -18,6 +19,10 @@ from quarry.operators.ordering import row_index
 
 QUARTILES = (0.25, 0.5, 0.75)
 
+#: the sketches' accuracy (a rank is off by at most n / SKETCH) and half a bracket's width
+SKETCH = 10000
+MARGIN = 4.0 / SKETCH
+
 
 def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
                 name: str = "col_name", value: str = "value") -> DataFrame:
@@ -45,17 +50,71 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = QUART
                                      F.col("_i") + 1).alias("prob"), "value"))
     from quarry.sources.files import materialize
     keys = [*by, "col_name"]
-    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_cnt"))
-    # value counts are read by several jobs of the ordering; scan the table once
-    return quantiles_from_counts(materialize(counts, "value-counts"), keys, probs)
+    counts = materialize(_bracketed_counts(df, cols, probs, by), "bracketed-counts")
+    res = materialize(quantiles_from_counts(counts, keys, probs, region="_r"), "quantiles")
+    found = res.select(*keys, "prob", "value").where(res["_inside"])
+    missed = res.where(~F.col("_inside")).select(*keys).distinct()
+    if missed.isEmpty():
+        return found
+    # a sketch off by more than its bound: every value of these columns is counted
+    again = _null_safe_semi(long, missed, keys).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_cnt"))
+    full = quantiles_from_counts(materialize(again, "value-counts"), keys, probs)
+    return _null_safe_semi(found, missed, keys, "left_anti").unionByName(full)
+
+
+def _null_safe_semi(df: DataFrame, keep: DataFrame, keys: Sequence[str], how: str = "left_semi") -> DataFrame:
+    k = keep.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)])
+    return df.join(k, [df[c].eqNullSafe(k[f"_k{i}"]) for i, c in enumerate(keys)], how)
+
+
+def _bracketed_counts(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                      by: Sequence[str]) -> DataFrame:
+    """(by..., col_name, _r, value, _cnt): odd ``_r`` numbers the values inside a bracket, even
+    ``_r`` the gaps between brackets, whose values are one row; ``_r``, ``value`` follow the order
+    of the values.  Groups too small for a bracket of a few rows keep all their values."""
+    by, cols = list(by), list(cols)
+    xs = [F.col(c).cast("double") for c in cols]
+    edges = [max(p - MARGIN, 0.0) for p in probs] + [min(p + MARGIN, 1.0) for p in probs]
+    sketch = [F.struct(F.count(x).alias("n"), F.percentile_approx(x, edges, SKETCH).alias("q")).alias(f"_q{i}")
+              for i, x in enumerate(xs)]
+    k = len(probs)
+    if by:
+        # one row for each group; joined on the group, so its measured size decides how
+        g = df.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)]).agg(*sketch)
+        rows = df.join(g, [df[c].eqNullSafe(g[f"_g{i}"]) for i, c in enumerate(by)])
+        size = [F.col(f"_q{i}.n") for i in range(len(cols))]
+        edge = [[F.col(f"_q{i}.q")[j] for j in range(2 * k)] for i in range(len(cols))]
+    else:
+        rows = df
+        row = df.agg(*sketch).first()  # a few numbers a column
+        size = [F.lit(row[i]["n"]) for i in range(len(cols))]
+        edge = [[F.lit(v).cast("double") for v in (row[i]["q"] or [None] * 2 * k)] for i in range(len(cols))]
+
+    def placed(x: Column, n: Column, e: list[Column]) -> Column:
+        inside, above = F.lit(False), F.lit(0)
+        for lo, hi in zip(e[:k], e[k:]):
+            inside = inside | ((x >= lo) & (x <= hi))
+            above = above + F.when(x > hi, 2).otherwise(0)
+        inside = (n * F.lit(MARGIN) < 2) | inside
+        r = F.when(n * F.lit(MARGIN) < 2, 1).otherwise(above + inside.cast("int"))
+        return F.when(x.isNotNull(), F.struct(r.alias("_r"), F.when(inside, x).otherwise(0.0).alias("value")))
+
+    wide = rows.select(*by, *[placed(*t).alias(c) for c, t in zip(cols, zip(xs, size, edge))])
+    long = wide.unpivot(by, cols, "col_name", "_p").where(F.col("_p").isNotNull())
+    return (long.groupBy(*by, "col_name", F.col("_p._r").alias("_r"), F.col("_p.value").alias("value"))
+            .agg(F.count(F.lit(1)).alias("_cnt")))
 
 
 def quantiles_from_counts(counts: DataFrame, keys: Sequence[str],
-                          probs: Sequence[float] = QUARTILES) -> DataFrame:
+                          probs: Sequence[float] = QUARTILES, region: str | None = None) -> DataFrame:
     """Exact type-7 quantiles from a (keys..., value, _cnt) table with unique
-    (keys, value): returns (keys..., prob, value)."""
+    (keys, value): returns (keys..., prob, value).
+
+    With ``region`` the order is (region, value); rows of an even region stand for many
+    values, and ``_inside`` tells whether a quantile needed none of them.
+    """
     keys = list(keys)
-    idx = row_index(counts, [*keys, "value"], weight="_cnt")
+    idx = row_index(counts, [*keys, *([region] if region else []), "value"], weight="_cnt")
     # one row per (group, column): start rank in the global order and size
     info = idx.groupBy(*keys).agg(F.min("_rid").alias("_start"), F.sum("_cnt").alias("_n"))
     pos = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
@@ -77,9 +136,11 @@ def quantiles_from_counts(counts: DataFrame, keys: Sequence[str],
     res = hit.groupBy(*[F.col(f"t.{k}").alias(k) for k in keys], F.col("t.prob").alias("prob")).agg(
         F.min(F.when(lo_in, F.col("i.value"))).alias("_vlo"),
         F.min(F.when(hi_in, F.col("i.value"))).alias("_vhi"),
-        F.first("t._frac").alias("_frac"))
+        F.first("t._frac").alias("_frac"),
+        F.bool_and(F.col(f"i.{region}") % 2 == 1 if region else F.lit(True)).alias("_inside"))
     return res.select(*keys, "prob",
-                      (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias("value"))
+                      (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias("value"),
+                      *(["_inside"] if region else []))
 
 
 def stat_names(probs: Sequence[float]) -> Column:

@@ -68,14 +68,18 @@ def feature_summary(weights: DataFrame, doc: str, n_docs: Column | int | None =
     Returns (term, stat, value).
     """
     from quarry.operators.agg import quantiles_from_counts, stat_names
+    from quarry.sources.files import materialize
+    # read by the moments, the value counts and the default of n
+    weights = materialize(weights.select(doc, "term", "weight"), "term-weights")
     n = n_docs if n_docs is not None else weights.select(F.countDistinct(doc)).scalar()
     n = n if isinstance(n, Column) else F.lit(n)
     w = F.col("weight").cast("double")
-    g = weights.groupBy("term").agg(F.count(F.lit(1)).alias("nnz"), F.sum(w).alias("s"),
-                                    F.sum(w * w).alias("ss"), F.min(w).alias("mn"), F.max(w).alias("mx"))
+    g = weights.groupBy("term").agg(F.count(F.lit(1)).alias("nnz"), F.sum(w).alias("s"), F.avg(w).alias("m"),
+                                    F.var_pop(w).alias("v"), F.min(w).alias("mn"), F.max(w).alias("mx"))
     zeros = n - F.col("nnz")
     mean = F.col("s") / n
-    var = (F.col("ss") - F.col("s") * F.col("s") / n) / (n - 1)
+    # squares about the entries' own mean, then what the zeros add
+    var = (F.col("nnz") * F.col("v") + F.col("nnz") * F.col("m") * F.col("m") * zeros / n) / (n - 1)
     mom = g.select("term", F.explode(F.array(
         F.struct(F.lit("count").alias("stat"), n.cast("double").alias("value")),
         F.struct(F.lit("mean").alias("stat"), mean.alias("value")),
@@ -87,6 +91,7 @@ def feature_summary(weights: DataFrame, doc: str, n_docs: Column | int | None =
     counts = weights.groupBy("term", w.alias("value")).agg(F.count(F.lit(1)).alias("_cnt"))
     zero_rows = g.select("term", F.lit(0.0).alias("value"), zeros.cast("long").alias("_cnt")).where("_cnt > 0")
     merged = counts.unionByName(zero_rows).groupBy("term", "value").agg(F.sum("_cnt").alias("_cnt"))
+    merged = materialize(merged, "term-value-counts")
     q = quantiles_from_counts(merged, ["term"], probs)
     stat = stat_names(probs)[F.col("prob")]
     return mom.unionByName(q.select("term", stat.alias("stat"), "value"))

@@ -16,7 +16,7 @@ into one task.  Instead:
    broadcast back as offsets.
 
 Order keys must be ascending column names forming a total order (end with a
-unique key) without NULLs; negate numeric keys for a descending order.
+unique key); NULLs come first; negate numeric keys for a descending order.
 """
 
 from __future__ import annotations
@@ -42,6 +42,10 @@ def _literal(v, dtype) -> Column:
     return F.lit(v).cast(dtype)
 
 
+def _place(key: tuple) -> tuple:
+    return tuple((v is not None, v) for v in key)  # NULLs first, as in the windows
+
+
 def _boundaries(df: DataFrame, keys: Sequence[str], buckets: int, seed: int = 17) -> list[tuple]:
     """Up to ``buckets - 1`` ascending key tuples splitting ``df`` evenly."""
     if buckets <= 1:
@@ -62,7 +66,7 @@ def _boundaries(df: DataFrame, keys: Sequence[str], buckets: int, seed: int = 17
         if not rows:
             break
         b = rows[min(len(rows) - 1, (i * len(rows)) // buckets)]
-        if not out or b > out[-1]:
+        if not out or _place(b) > _place(out[-1]):
             out.append(b)
     return out
 
