@@ -118,13 +118,27 @@ def vocabulary(tokens: DataFrame, token: str = "token", specials: Sequence[str]
     return head.unionByName(words)
 
 
+#: ids below this are the most frequent tokens; only they are broadcast
+HOT_IDS = 1000
+
+
 def numericalise(tokens: DataFrame, vocab: DataFrame, token: str = "token",
                  unk_id: int = 0, name: str = "token_id") -> DataFrame:
-    """X11: tokens to ids; tokens missing from the vocabulary get ``unk_id``."""
-    v = vocab.select(F.col("token").alias("_vt"), F.col("id").alias("_vid"))
-    return (tokens.join(v, tokens[token] == v["_vt"], "left")
-            .withColumn(name, F.coalesce(F.col("_vid"), F.lit(unk_id)).cast("long"))
-            .drop("_vt", "_vid"))
+    """X11: tokens to ids; tokens missing from the vocabulary get ``unk_id``.
+
+    Ids go by frequency, so a token of more than one row in ``HOT_IDS`` is among the first: these few
+    are broadcast, and their rows are salted past the join with the rest of the vocabulary.
+    """
+    hot = vocab.where(F.col("id") < HOT_IDS).select(F.col("token").alias("_ht"), F.col("id").alias("_hid"))
+    cold = vocab.where(F.col("id") >= HOT_IDS).select(F.col("token").alias("_vt"), F.col("id").alias("_vid"))
+    first = tokens.join(F.broadcast(hot), tokens[token] == hot["_ht"], "left")
+    known = F.col("_hid").isNotNull() | F.col(token).isNull()
+    spread = F.pmod(F.xxhash64(*tokens.columns), F.lit(4096)) + 1
+    keyed = first.withColumns({"_k": F.when(known, "").otherwise(F.col(token)), "_s": F.when(known, spread).otherwise(0)})
+    cold = cold.withColumn("_vs", F.lit(0).cast("long"))
+    return (keyed.join(cold, (F.col("_k") == F.col("_vt")) & (F.col("_s") == F.col("_vs")), "left")
+            .withColumn(name, F.coalesce("_hid", "_vid", F.lit(unk_id)).cast("long"))
+            .drop("_ht", "_hid", "_vt", "_vid", "_vs", "_k", "_s"))
 
 
 def _gram_counter(key: list[str], n: int, name: str):

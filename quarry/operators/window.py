@@ -1,9 +1,8 @@
 """Ordered-sequence operators.
 
 Positions come from :mod:`quarry.operators.ordering`, so no operator runs a
-window over the whole table (or a whole large group) in one task.  Neighbour
-access is an equi-join on (group, position +- 1), which hashes evenly because
-positions are unique.
+window over the whole table (or a whole large group) in one task.  Neighbours
+are met by windows inside blocks of positions whose edge rows are copied.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.ordering import group_row_index, row_index
+from quarry.operators.ordering import group_row_index, row_index, running_sums
 
 
 def positions(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
@@ -24,16 +23,51 @@ def positions(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
     return row_index(df, order, name=name)
 
 
+#: positions of one block: a window over neighbours runs inside a block, never over a table or a group
+BLOCK = 4096
+
+
+def _blocked(idx: DataFrame, pos: str, before: int = 0, after: int = 0) -> DataFrame:
+    """Rows with ``_blk``, the block of ``BLOCK`` (or more, for a longer reach) positions that they belong
+    to; a row within ``before`` of a block's end or ``after`` of its start is copied into the next or the
+    last block as well, with ``_own`` false.  Only these edge rows are copied."""
+    size = max(BLOCK, before, after)
+    blk, off = F.floor(F.col(pos) / size).cast("long"), F.col(pos) % size
+    copies = [F.struct(blk.alias("_blk"), F.lit(True).alias("_own"))]
+    if before:
+        copies.append(F.when(off >= size - before, F.struct((blk + 1).alias("_blk"), F.lit(False).alias("_own"))))
+    if after:
+        copies.append(F.when((off < after) & (blk > 0), F.struct((blk - 1).alias("_blk"), F.lit(False).alias("_own"))))
+    return (idx.select("*", F.explode(F.array(*copies)).alias("_b")).where(F.col("_b").isNotNull())
+            .select(*idx.columns, "_b._blk", "_b._own"))
+
+
+def _diff_of(idx: DataFrame, pos: str, col: str, by: Sequence[str], name: str) -> DataFrame:
+    w = Window.partitionBy(*by, "_blk").orderBy(pos)
+    prev = _blocked(idx, pos, before=1).withColumn("_prev", F.lag(col).over(w)).where("_own")
+    zero = F.lit(0).cast(idx.schema[col].dataType)
+    return prev.withColumn(name, F.coalesce(F.col(col) - F.col("_prev"), zero)).drop("_prev", "_blk", "_own")
+
+
 def diff(df: DataFrame, order: Sequence[str], col: str, by: Sequence[str] = (),
          name: str | None = None) -> DataFrame:
-    """First difference of ``col`` in ``order``; the first row (per group) is 0."""
-    name = name or f"{col}_diff"
+    """First difference of ``col`` in ``order``; the first row (per group) is 0.
+
+    The row before comes from ``lag`` inside blocks of positions, so the input is ordered once
+    and nothing is joined."""
     by = list(by)
-    idx = positions(df, order, by, "_p")
-    prev = idx.select(*by, (F.col("_p") + 1).alias("_p"), F.col(col).alias("_prev"))
-    return (idx.join(prev, [*by, "_p"], "left")
-            .withColumn(name, F.coalesce(F.col(col) - F.col("_prev"), F.lit(0).cast(df.schema[col].dataType)))
-            .drop("_p", "_prev"))
+    return _diff_of(positions(df, order, by, "_p"), "_p", col, by, name or f"{col}_diff").drop("_p")
+
+
+def _frames_of(idx: DataFrame, pos: str, cols: Sequence[str], n: int, target: str,
+               by: Sequence[str]) -> DataFrame:
+    w = Window.partitionBy(*by, "_blk").orderBy(pos).rowsBetween(0, n)
+    row = F.struct(F.col(pos).alias("pos"), *cols, F.col(target).alias("_y"))
+    framed = (_blocked(idx, pos, after=n).withColumn("_rows", F.collect_list(row).over(w))
+              .where(F.col("_own") & (F.size("_rows") == n + 1)))
+    inputs = F.transform(F.slice("_rows", 1, n), lambda x: F.struct(x["pos"].alias("pos"), *[x[c].alias(c) for c in cols]))
+    return framed.select(*by, F.col(pos).alias("start"), inputs.alias("inputs"),
+                         F.element_at("_rows", n + 1)["_y"].alias("target"))
 
 
 def sliding_sequences(df: DataFrame, order: Sequence[str], cols: Sequence[str],
@@ -41,21 +75,12 @@ def sliding_sequences(df: DataFrame, order: Sequence[str], cols: Sequence[str],
     """Every run of ``n`` consecutive rows plus the next row's ``target``.
 
     Returns (by..., start, inputs: array<struct<pos, cols...>>, target).  Only
-    full frames are kept (all windows, including the last one).  Each row is
-    copied into the (at most n + 1) frames that contain it and frames are
-    grouped by start, so a group never holds more than n + 1 rows.
+    full frames are kept (all windows, including the last one).  Frames are
+    gathered by a window inside blocks of positions; only the first n rows of
+    a block are shuffled twice.
     """
     by = list(by)
-    idx = positions(df, order, by, "_p")
-    member = idx.select(*by, "_p", *cols, F.col(target).alias("_y"),
-                        F.explode(F.sequence(F.greatest(F.col("_p") - n, F.lit(0)).cast("long"),
-                                             F.col("_p"))).alias("start"))
-    frames = member.groupBy(*by, "start").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_p").alias("pos"), *cols))).alias("_rows"),
-        F.max(F.when(F.col("_p") == F.col("start") + n, F.col("_y"))).alias("target"),
-        F.count(F.lit(1)).alias("_k"))
-    return (frames.where(F.col("_k") == n + 1)
-            .select(*by, "start", F.slice("_rows", 1, n).alias("inputs"), "target"))
+    return _frames_of(positions(df, order, by, "_p"), "_p", cols, n, target, by)
 
 
 def chronological_split(df: DataFrame, order: Sequence[str], frac: float = 0.9,
@@ -80,27 +105,48 @@ def chronological_split(df: DataFrame, order: Sequence[str], frac: float = 0.9,
     return out.drop("_n").withColumnRenamed("_p", "pos")
 
 
+def _cut(idx: DataFrame, total: Column, bsz: int) -> DataFrame:
+    seq_len = F.floor(total / F.lit(bsz))
+    return (idx.where(F.col("_i") < seq_len * bsz)
+            .withColumn("batch", F.floor(F.col("_i") / seq_len).cast("int"))
+            .withColumn("pos", (F.col("_i") % seq_len).cast("long"))
+            .drop("_i"))
+
+
 def batchify(df: DataFrame, order: Sequence[str], bsz: int) -> DataFrame:
     """Cut the ordered sequence into ``bsz`` equal columns; the remainder is dropped.
 
     Element i goes to ``batch = i div seq_len`` at ``pos = i mod seq_len`` with
     ``seq_len = N div bsz``.
     """
-    idx = row_index(df, order, name="_i")
-    seq_len = F.floor(df.select(F.count(F.lit(1))).scalar() / F.lit(bsz))
-    return (idx.where(F.col("_i") < seq_len * bsz)
-            .withColumn("batch", F.floor(F.col("_i") / seq_len).cast("int"))
-            .withColumn("pos", (F.col("_i") % seq_len).cast("long"))
-            .drop("_i"))
+    return _cut(row_index(df, order, name="_i"), df.select(F.count(F.lit(1))).scalar(), bsz)
+
+
+def batchify_documents(docs: DataFrame, order: Sequence[str], tokens: str, bsz: int,
+                       token: str = "token", at: str = "tpos") -> DataFrame:
+    """W6 for documents that hold their tokens as an array: the stream of all tokens by document, then place.
+
+    A document's first position is the sum of the sizes before it, so documents are ordered
+    (``order`` must be unique) and tokens never are.  A NULL array counts as empty.  Returns the other
+    columns of ``docs`` with (at, token, batch, pos).
+    """
+    sized = docs.withColumn("_n", F.greatest(F.size(tokens), F.lit(0)))
+    first = running_sums(sized, order, ["_n"], ["_first"])
+    kept = [c for c in docs.columns if c != tokens]
+    idx = (first.select(*kept, "_first", F.posexplode(tokens).alias(at, token))
+           .withColumn("_i", F.col("_first") + F.col(at)).drop("_first"))
+    return _cut(idx, sized.select(F.sum("_n")).scalar(), bsz)
 
 
 def next_token_pairs(df: DataFrame, seq: Sequence[str], pos: str, token: str,
                      name: str = "target") -> DataFrame:
-    """Target is the token one position later in the same sequence; the
-    last position of each sequence has no target and is dropped."""
+    """Target is the token one position later in the same sequence; a position without a
+    next one is dropped.  ``lead`` runs inside blocks of positions, so a sequence may be of
+    any length.  Positions must be unique in a sequence."""
     seq = list(seq)
-    nxt = df.select(*seq, (F.col(pos) - 1).alias(pos), F.col(token).alias(name))
-    return df.join(nxt, [*seq, pos])
+    w = Window.partitionBy(*seq, "_blk").orderBy(pos)
+    nxt = _blocked(df, pos, after=1).withColumns({name: F.lead(token).over(w), "_next": F.lead(pos).over(w)})
+    return nxt.where(F.col("_own") & (F.col("_next") == F.col(pos) + 1)).drop("_blk", "_own", "_next")
 
 
 def bptt_chunks(df: DataFrame, seq: Sequence[str], pos: str, token: str,

@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
-from quarry.functions.numeric import claim_error_pct
+from quarry.functions.numeric import claim_error_pct, hash_unit
 from quarry.operators import features as X
 from quarry.operators import window as W
 from quarry.operators.classify import index_categories, one_hot
@@ -16,8 +16,9 @@ from quarry.operators.reconcile import reconcile, reconcile_many
 from quarry.operators.sample import hash_split
 from quarry.plans.registry import SIG, register
 from quarry.plans.sqlhelp import sql_hash_unit
-from quarry.plans.text import _sql_basic_tokens, _tokens
+from quarry.plans.text import _sql_basic_tokens
 from quarry.session import table
+from quarry.sources.files import materialize
 
 # ------------------------------------------ language-model dataset (Q8: W4-W6)
 
@@ -34,10 +35,14 @@ b AS (SELECT doc_id, tpos, token, CAST(floor(i / sl) AS INTEGER) AS batch, CAST(
 """
 
 
+def _token_arrays(spark, sf):
+    docs = table(spark, sf, "documents")
+    return materialize(docs.select("doc_id", T.basic_tokens("text").alias("tokens")), "token-arrays")
+
+
 def batches(spark, sf):
     """The corpus as one token stream in (doc_id, tpos) order, cut into BSZ columns."""
-    tok = _tokens(spark, sf).withColumnRenamed("pos", "tpos")
-    return W.batchify(tok, ["doc_id", "tpos"], BSZ)
+    return W.batchify_documents(_token_arrays(spark, sf), ["doc_id"], "tokens", BSZ)
 
 
 @register("batchify_corpus", f"WITH {_BATCH_SQL} SELECT * FROM b")
@@ -64,6 +69,40 @@ def bptt_chunks_corpus(spark, sf):
     return W.bptt_chunks(batches(spark, sf), ["batch"], "pos", "token", BPTT)
 
 
+_IDS_SQL = f"""
+{_BATCH_SQL},
+c AS (SELECT token, count(*) AS n FROM tok WHERE {sql_hash_unit(42, ['doc_id'])} < 0.85 AND token <> '<unk>' GROUP BY token),
+v AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) AS id FROM c),
+ids AS (SELECT batch, pos, CAST(coalesce(v.id, 0) AS BIGINT) AS token_id FROM b LEFT JOIN v USING (token))
+"""
+
+
+def batched_ids(spark, sf):
+    """Q8: the corpus as ids of the training documents' vocabulary, in BSZ columns; texts are tokenised once."""
+    arrays = _token_arrays(spark, sf)
+    train = arrays.where(hash_unit(42, ["doc_id"]) < 0.85).select(F.explode("tokens").alias("token"))
+    stream = W.batchify_documents(arrays, ["doc_id"], "tokens", BSZ).select("batch", "pos", "token")
+    return X.numericalise(stream, X.vocabulary(train)).select("batch", "pos", "token_id")
+
+
+@register("next_id_pairs_corpus", f"""
+WITH {_IDS_SQL}
+SELECT * FROM (SELECT batch, pos, token_id, lead(token_id) OVER (PARTITION BY batch ORDER BY pos) AS target FROM ids)
+WHERE target IS NOT NULL
+""")
+def next_id_pairs_corpus(spark, sf):
+    return W.next_token_pairs(batched_ids(spark, sf), ["batch"], "pos", "token_id")
+
+
+@register("bptt_id_chunks_corpus", f"""
+WITH {_IDS_SQL}
+SELECT batch, CAST(floor(pos / {BPTT}) AS BIGINT) AS chunk, list(token_id ORDER BY pos) AS tokens,
+       count(*) AS n FROM ids GROUP BY ALL
+""")
+def bptt_id_chunks_corpus(spark, sf):
+    return W.bptt_chunks(batched_ids(spark, sf), ["batch"], "pos", "token_id", BPTT)
+
+
 # ------------------------------------------------ encoders and scalers
 
 def _freq_index_sql(col: str) -> str:
