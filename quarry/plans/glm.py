@@ -12,6 +12,7 @@ from quarry.operators.glm import BinomialGLM
 from quarry.operators.project import expand_grid
 from quarry.plans.models import ORDER_FEATURES_SQL, order_features
 from quarry.plans.registry import SIG6, register
+from quarry.plans.sqlhelp import sql_eliminate
 
 TERMS = ["n_lines", "avg_discount", "o_orderpriority"]
 LEVELS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -32,18 +33,6 @@ def _eta(b: str = "b", x: str = "") -> str:
     return " + ".join(f"{b}{j} * {x}x{j}" for j in range(P))
 
 
-def _solve(source: str, name: str, right: int) -> str:
-    """CTEs ``name``0 .. that reduce the columns a_i_j (with ``right`` more on the right) to the unit matrix."""
-    parts, prev = [], source
-    wide = P + right
-    for k in range(P):
-        cols = [f"a_{i}_{j} - a_{i}_{k} / a_{k}_{k} * a_{k}_{j} AS a_{i}_{j}" if i != k else f"a_{k}_{j} / a_{k}_{k} AS a_{k}_{j}"
-                for i in range(P) for j in range(k + 1, wide)]
-        parts.append(f"{name}{k} AS (SELECT {', '.join(cols)} FROM {prev})")
-        prev = f"{name}{k}"
-    return ",\n".join(parts)
-
-
 def _irls_sql() -> str:
     """CTEs x (rows), beta (b0 ..), cov (v_i_j) and like (log likelihood)."""
     out = [ORDER_FEATURES_SQL, f"x AS MATERIALIZED (SELECT o_orderkey, label AS y, {_row_sql('n_lines', 'avg_discount', 'o_orderpriority')} FROM of)",
@@ -55,7 +44,7 @@ def _irls_sql() -> str:
             [f"sum(r * x{i}) AS a_{i}_{P}" for i in range(P)]
         out.append(f"s{s} AS MATERIALIZED (SELECT {', '.join(sums)} FROM (SELECT x.*, mu * (1 - mu) AS w, y - mu AS r FROM ("
                    f"SELECT x.*, 1 / (1 + exp(-({_eta()}))) AS mu FROM x, b{s}) x) x)")
-        out.append(_solve(f"s{s}", f"e{s}_", P if last else 1))
+        out.append(sql_eliminate(f"s{s}", f"e{s}_", P, P if last else 1))
         if not last:
             out.append(f"b{s + 1} AS MATERIALIZED (SELECT {', '.join(f'b{i} + a_{i}_{P} AS b{i}' for i in range(P))} FROM b{s}, e{s}_{P - 1})")
     out.append(f"beta AS (SELECT * FROM b{STEPS})")
