@@ -18,15 +18,15 @@ from quarry.functions.text import STOP_WORDS, word_tokens
 from quarry.operators.ordering import row_index
 
 
-def terms(df: DataFrame, doc: str, text: str, stop_words: Sequence[str] | None = STOP_WORDS,
+def terms(df: DataFrame, doc: str | Sequence[str], text: str, stop_words: Sequence[str] | None = STOP_WORDS,
           min_len: int = 2) -> DataFrame:
-    """(doc, pos, term): lower-cased word tokens of each whole text, stop words removed."""
+    """(doc..., pos, term): lower-cased word tokens of each whole text, stop words removed."""
     toks = word_tokens(text, min_len)
     if stop_words:
         # IN over literals becomes a hash-set lookup (array_contains would scan the list)
         stop = list(stop_words)
         toks = F.filter(toks, lambda t: ~t.isin(stop))
-    return df.select(doc, F.posexplode(toks).alias("pos", "term"))
+    return df.select(*([doc] if isinstance(doc, str) else doc), F.posexplode(toks).alias("pos", "term"))
 
 
 def bag_of_words(term_rows: DataFrame, doc: str) -> DataFrame:
@@ -34,10 +34,44 @@ def bag_of_words(term_rows: DataFrame, doc: str) -> DataFrame:
     return term_rows.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def idf_table(term_rows: DataFrame, doc: str, smooth: bool = True) -> DataFrame:
-    """Smoothed inverse document frequency ``ln((1 + n) / (1 + df)) + 1``: (term, df, idf)."""
-    n = term_rows.select(F.countDistinct(doc)).scalar()
-    dfreq = term_rows.select(doc, "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+def term_counts(df: DataFrame, keep: Sequence[str], text: str, stop_words: Sequence[str] | None = STOP_WORDS,
+                min_len: int = 2) -> DataFrame:
+    """X8 in one pass: (keep..., term, tf).  ``keep`` holds the document's key and whatever else of the
+    document is wanted later, so nothing is joined back."""
+    toks = terms(df, list(keep), text, stop_words, min_len)
+    return toks.groupBy(*keep, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+#: keys of a lookup that are broadcast; the next one holds at most one row in so many
+HOT_KEYS = 1000
+
+
+def join_terms(rows: DataFrame, lookup: DataFrame, key: str, first: Column, how: str = "inner") -> DataFrame:
+    """``rows`` with the other columns of ``lookup`` (unique on ``key``) when few keys hold most rows.
+
+    The ``HOT_KEYS`` keys that come first by ``first`` (the most frequent) are broadcast, so that table's
+    size is fixed; their rows are salted past the shuffle join with the whole lookup.  Rows whose key is
+    NULL or not in the lookup are dropped by ``how="inner"`` and kept with NULLs by ``"left"``.
+    """
+    values = [c for c in lookup.columns if c != key]
+    packed = lookup.select(F.col(key).alias("_jk"), F.struct(*values).alias("_jv"), first.alias("_jo"))
+    hot = packed.orderBy("_jo", "_jk").limit(HOT_KEYS).select(F.col("_jk").alias("_hk"), F.col("_jv").alias("_hv"))
+    cold = packed.select("_jk", "_jv", F.lit(0).cast("long").alias("_js"))
+    found = rows.join(F.broadcast(hot), F.col(key) == F.col("_hk"), "left")
+    past = F.col("_hv").isNotNull() | F.col(key).isNull()
+    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(4096)) + 1
+    salted = found.withColumn("_rs", F.when(past, spread).otherwise(0))
+    out = salted.join(cold, (F.col(key) == F.col("_jk")) & (F.col("_rs") == F.col("_js")), "left")
+    value = F.coalesce("_hv", "_jv")
+    out = out.where(value.isNotNull()) if how == "inner" else out
+    return out.select(*rows.columns, *[value[c].alias(c) for c in values])
+
+
+def idf_table(counts: DataFrame, doc: str, smooth: bool = True) -> DataFrame:
+    """Smoothed inverse document frequency ``ln((1 + n) / (1 + df)) + 1`` from one row per
+    (doc, term): (term, df, idf)."""
+    n = counts.select(F.countDistinct(doc)).scalar()
+    dfreq = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     if smooth:
         idf = F.ln((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1.0
     else:
@@ -45,15 +79,18 @@ def idf_table(term_rows: DataFrame, doc: str, smooth: bool = True) -> DataFrame:
     return dfreq.withColumn("idf", idf)
 
 
-def tfidf(train_terms: DataFrame, apply_terms: DataFrame, doc: str) -> DataFrame:
-    """Term count x IDF learned on ``train_terms``, L2-normalised per document.
+def tfidf(train: DataFrame, apply: DataFrame, doc: str) -> DataFrame:
+    """Term count x IDF learned on ``train``, L2-normalised per document.
 
-    Terms never seen in training are ignored (J2: the IDF join is inner).
+    Both are (doc, term, tf) with one row per pair, as :func:`term_counts` or :func:`bag_of_words`
+    give them.  Terms never seen in training are ignored (J2: the IDF join is inner).
     Returns (doc, term, weight).
     """
-    idf = idf_table(train_terms, doc).select("term", "idf")
-    tf = bag_of_words(apply_terms, doc)
-    raw = tf.join(idf, "term").withColumn("_w", F.col("tf") * F.col("idf"))
+    from quarry.sources.files import materialize
+    # as large as the vocabulary; read by both parts of the join
+    idf = materialize(idf_table(train, doc), "idf")
+    seen = join_terms(apply.select(doc, "term", "tf"), idf, "term", -F.col("df"))
+    raw = seen.select(doc, "term", (F.col("tf") * F.col("idf")).alias("_w"))
     # a document's terms are bounded by its length, so a per-document window is fine
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(doc)))
     return raw.select(doc, "term", (F.col("_w") / norm).alias("weight"))
@@ -118,27 +155,13 @@ def vocabulary(tokens: DataFrame, token: str = "token", specials: Sequence[str]
     return head.unionByName(words)
 
 
-#: ids below this are the most frequent tokens; only they are broadcast
-HOT_IDS = 1000
-
-
 def numericalise(tokens: DataFrame, vocab: DataFrame, token: str = "token",
                  unk_id: int = 0, name: str = "token_id") -> DataFrame:
-    """X11: tokens to ids; tokens missing from the vocabulary get ``unk_id``.
-
-    Ids go by frequency, so a token of more than one row in ``HOT_IDS`` is among the first: these few
-    are broadcast, and their rows are salted past the join with the rest of the vocabulary.
-    """
-    hot = vocab.where(F.col("id") < HOT_IDS).select(F.col("token").alias("_ht"), F.col("id").alias("_hid"))
-    cold = vocab.where(F.col("id") >= HOT_IDS).select(F.col("token").alias("_vt"), F.col("id").alias("_vid"))
-    first = tokens.join(F.broadcast(hot), tokens[token] == hot["_ht"], "left")
-    known = F.col("_hid").isNotNull() | F.col(token).isNull()
-    spread = F.pmod(F.xxhash64(*tokens.columns), F.lit(4096)) + 1
-    keyed = first.withColumns({"_k": F.when(known, "").otherwise(F.col(token)), "_s": F.when(known, spread).otherwise(0)})
-    cold = cold.withColumn("_vs", F.lit(0).cast("long"))
-    return (keyed.join(cold, (F.col("_k") == F.col("_vt")) & (F.col("_s") == F.col("_vs")), "left")
-            .withColumn(name, F.coalesce("_hid", "_vid", F.lit(unk_id)).cast("long"))
-            .drop("_ht", "_hid", "_vt", "_vid", "_vs", "_k", "_s"))
+    """X11: tokens to ids; tokens missing from the vocabulary get ``unk_id``.  Ids go by frequency, so
+    those of the most frequent tokens are the ones that :func:`join_terms` broadcasts."""
+    ids = vocab.select(F.col("token").alias(token), F.col("id").alias("_vid"))
+    found = join_terms(tokens, ids, token, F.col("_vid"), "left")
+    return found.withColumn(name, F.coalesce("_vid", F.lit(unk_id)).cast("long")).drop("_vid")
 
 
 def _gram_counter(key: list[str], n: int, name: str):
@@ -152,7 +175,7 @@ def _gram_counter(key: list[str], n: int, name: str):
             per_key: dict = collections.defaultdict(collections.Counter)
             keyvals = list(zip(*[pdf[k].tolist() for k in key])) if key else [()] * len(pdf)
             for kv, s in zip(keyvals, pdf["_t"].tolist()):
-                if s is None or len(s) < n:
+                if not isinstance(s, str) or len(s) < n:
                     continue
                 per_key[kv].update(s[i:i + n] for i in range(len(s) - n + 1))
             cols = {k: [] for k in key}
@@ -162,7 +185,8 @@ def _gram_counter(key: list[str], n: int, name: str):
                 counts.extend(c.values())
                 for j, k in enumerate(key):
                     cols[k].extend([kv[j]] * len(c))
-            yield pd.DataFrame({**cols, name: grams, "count": pd.Series(counts, dtype="int64")})
+            if grams:
+                yield pd.DataFrame({**cols, name: pd.Series(grams, dtype=object), "count": pd.Series(counts, dtype="int64")})
     return count
 
 
@@ -170,21 +194,21 @@ def char_ngrams(df: DataFrame, key: Sequence[str], text: str | Column, n: int =
                 name: str = "gram", unique_rows: bool = False) -> DataFrame:
     """Counts of every character n-gram of each whole string: (key..., gram, count).
 
-    Each task counts the n-grams of its own rows in Python (whole strings,
-    code points, one Counter per row), so a row leaves the task as at most
-    one (key, gram, count) row per distinct gram; Spark then shuffles and sums
-    by (key, gram).  JVM array lambdas over the split string were 3-5x slower.
+    One match a code point, with the n-gram it starts seen by look-ahead; Spark counts the grams by
+    (key, gram) before and after the shuffle.  With ``unique_rows`` (one row per key) a Counter in Python
+    counts each whole string instead: no gram is shuffled, and over one key a row that was faster.
     """
     key = list(key)
     s = F.col(text) if isinstance(text, str) else text
+    if not unique_rows:
+        grams = F.regexp_extract_all(s, F.lit(f"(?s)(?=(.{{{n}}}))."), 1)
+        return df.select(*key, F.explode(grams).alias(name)).groupBy(*key, name).agg(F.count(F.lit(1)).alias("count"))
     src = df.select(*key, s.alias("_t"))
     fields = [f for f in src.schema.fields if f.name in key]
     schema = StructType([*[StructField(f.name, f.dataType, f.nullable) for f in fields],
                          StructField(name, StringType(), False), StructField("count", LongType(), False)])
-    per_row = src.mapInPandas(_gram_counter(key, n, name), schema)
-    if unique_rows:  # caller guarantees one input row per key: counts are final, no shuffle
-        return per_row
-    return per_row.groupBy(*key, name).agg(F.sum("count").cast("long").alias("count"))
+    # one input row per key: counts are final, no shuffle
+    return src.mapInPandas(_gram_counter(key, n, name), schema)
 
 
 def class_weights(df: DataFrame, label: str, name: str = "class_weight") -> DataFrame:

@@ -12,7 +12,7 @@ from quarry.operators.evaluate import perplexity
 from quarry.plans.registry import SIG, register
 from quarry.plans.sqlhelp import sql_hash_unit
 from quarry.session import table
-from quarry.sources.files import scratch_path
+from quarry.sources.files import materialize, scratch_path
 
 
 def _sql_str_list(words) -> str:
@@ -130,10 +130,8 @@ def split_documents(spark, sf):
 
 
 def document_terms(spark, sf):
-    d = split_documents(spark, sf)
-    t = X.terms(d, "doc_id", "text")
-    parts = d.select("doc_id", "part")
-    return t.join(parts, "doc_id")
+    """(doc_id, part, term, tf), counted once for all that follows."""
+    return materialize(X.term_counts(split_documents(spark, sf), ["doc_id", "part"], "text"), "document-terms")
 
 
 @register("tfidf_test_documents", f"""
@@ -152,7 +150,7 @@ WITH {_TERMS_SQL}
 SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL
 """)
 def bag_of_words_documents(spark, sf):
-    return X.bag_of_words(document_terms(spark, sf), "doc_id")
+    return X.term_counts(table(spark, sf, "documents"), ["doc_id"], "text")
 
 
 @register("feature_summary_tfidf", f"""
@@ -200,11 +198,6 @@ def vocabulary_documents(spark, sf):
     return X.vocabulary(tok)
 
 
-def _tokens(spark, sf):
-    d = table(spark, sf, "documents")
-    return d.select("doc_id", F.posexplode(T.basic_tokens("text")).alias("pos", "token"))
-
-
 @register("numericalise_documents", f"""
 WITH d AS (SELECT doc_id, {_DOC_SPLIT} AS part, text FROM documents),
 tok AS (SELECT doc_id, part, unnest({_sql_basic_tokens('text')}) AS token,
@@ -215,8 +208,7 @@ SELECT tok.doc_id, tok.pos, tok.token, CAST(coalesce(v.id, 0) AS BIGINT) AS toke
 FROM tok LEFT JOIN v USING (token) WHERE tok.part = 'test'
 """)
 def numericalise_documents(spark, sf):
-    parts = split_documents(spark, sf).select("doc_id", "part")
-    tok = _tokens(spark, sf).join(parts, "doc_id")
+    tok = split_documents(spark, sf).select("doc_id", "part", F.posexplode(T.basic_tokens("text")).alias("pos", "token"))
     vocab = X.vocabulary(tok.where("part = 'train'"))
     return X.numericalise(tok.where("part = 'test'"), vocab).select("doc_id", "pos", "token", "token_id")
 
@@ -310,16 +302,15 @@ seg AS (SELECT doc_id, lang, avg(nll) AS mean_loss, count(*) AS n_tokens FROM ev
 def unigram_losses(spark, sf):
     """Per held-out document: mean negative log-likelihood under an add-one
     unigram model of the training documents, and its token count."""
-    parts = split_documents(spark, sf).select("doc_id", "lang", "part")
-    tok = _tokens(spark, sf).join(parts, "doc_id")
-    vocab_counts = (tok.where("part = 'train'").where(F.col("token") != "<unk>")
-                    .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
-    tot = vocab_counts.agg(F.sum("n").alias("N"), (F.count(F.lit(1)) + 1).alias("V"))
-    N, V = tot.select("N").scalar(), tot.select("V").scalar()
-    ev = tok.where("part = 'test'").join(vocab_counts, "token", "left").select(
-        "doc_id", "lang", (-F.ln((F.coalesce("n", F.lit(0)) + 1.0) / (N + V))).alias("nll"))
-    return ev.groupBy("doc_id", "lang").agg(F.avg("nll").alias("mean_loss"),
-                                            F.count(F.lit(1)).alias("n_tokens"))
+    tok = split_documents(spark, sf).select("doc_id", "lang", "part", F.explode(T.basic_tokens("text")).alias("token"))
+    counts = materialize(tok.groupBy(*tok.columns).agg(F.count(F.lit(1)).alias("k")), "token-counts")
+    vocab = materialize(counts.where("part = 'train'").where(F.col("token") != "<unk>")
+                        .groupBy("token").agg(F.sum("k").alias("n")), "unigrams")
+    N, V = vocab.select(F.sum("n")).scalar(), vocab.select(F.count(F.lit(1)) + 1).scalar()
+    ev = X.join_terms(counts.where("part = 'test'"), vocab, "token", -F.col("n"), "left").withColumn(
+        "nll", -F.ln((F.coalesce("n", F.lit(0)) + 1.0) / (N + V)))
+    return ev.groupBy("doc_id", "lang").agg((F.sum(F.col("k") * F.col("nll")) / F.sum("k")).alias("mean_loss"),
+                                            F.sum("k").alias("n_tokens"))
 
 
 @register("unigram_perplexity_documents", f"""

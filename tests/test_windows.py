@@ -1,4 +1,4 @@
-"""Window operators across block edges, token streams and the vocabulary join with a hot token."""
+"""Window operators across block edges, token streams, the join with a hot token and n-grams."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,7 +52,7 @@ def test_documents_as_one_stream(spark):
 
 
 def test_hot_token_is_spread(spark, monkeypatch):
-    monkeypatch.setattr(X, "HOT_IDS", 3)
+    monkeypatch.setattr(X, "HOT_KEYS", 3)
     i = F.col("id")
     token = F.when(i % 10 != 0, "hot").when(i % 100 == 0, F.lit(None)).otherwise(F.concat(F.lit("w"), (i % 70).cast("string")))
     tokens = spark.range(5000).select(i.alias("k"), token.alias("token"))
@@ -62,3 +62,25 @@ def test_hot_token_is_spread(spark, monkeypatch):
     assert out.columns == ["k", "token", "token_id"]
     rows = out.collect()
     assert len(rows) == 5000 and all(r.token_id == ids.get(r.token, 0) for r in rows)
+
+
+def test_join_terms_keeps_or_drops(spark, monkeypatch):
+    monkeypatch.setattr(X, "HOT_KEYS", 1)
+    rows = spark.createDataFrame([(1, "a"), (2, "a"), (2, "a"), (3, "b"), (4, None), (5, "z")], "k int, t string")
+    lookup = spark.createDataFrame([("a", 9, 1.0), ("b", 1, None)], "t string, n int, x double")
+    inner = sorted(map(tuple, X.join_terms(rows, lookup, "t", -F.col("n")).collect()))
+    assert inner == [(1, "a", 9, 1.0), (2, "a", 9, 1.0), (2, "a", 9, 1.0), (3, "b", 1, None)]
+    left = X.join_terms(rows, lookup, "t", -F.col("n"), "left").collect()
+    assert len(left) == 6 and {r.k for r in left if r.n is None} == {4, 5}
+
+
+@pytest.mark.parametrize("unique", [False, True])
+def test_ngrams_of_code_points(spark, unique):
+    texts = ["", "ab", "abcabc", "a\nb\r\nc", "\U0001f600\U0001f601\u00e9x\U0001f600", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, s string")
+    want = {}
+    for k, s in enumerate(texts):
+        for i in range(len(s or "") - 2):
+            want[(k, s[i:i + 3])] = want.get((k, s[i:i + 3]), 0) + 1
+    got = {(r.k, r.gram): r["count"] for r in X.char_ngrams(df, ["k"], "s", 3, unique_rows=unique).collect()}
+    assert got == want
