@@ -50,21 +50,21 @@ def join_terms(rows: DataFrame, lookup: DataFrame, key: str, first: Column, how:
     """``rows`` with the other columns of ``lookup`` (unique on ``key``) when few keys hold most rows.
 
     The ``HOT_KEYS`` keys that come first by ``first`` (the most frequent) are broadcast, so that table's
-    size is fixed; their rows are salted past the shuffle join with the whole lookup.  Rows whose key is
-    NULL or not in the lookup are dropped by ``how="inner"`` and kept with NULLs by ``"left"``.
+    size is fixed, and their rows are not shuffled; all other rows meet the lookup in a shuffle join.  ``rows`` is
+    read by both parts.  Rows whose key is NULL or not in the lookup are dropped by ``how="inner"`` and kept
+    with NULLs by ``"left"``.
     """
     values = [c for c in lookup.columns if c != key]
     packed = lookup.select(F.col(key).alias("_jk"), F.struct(*values).alias("_jv"), first.alias("_jo"))
-    hot = packed.orderBy("_jo", "_jk").limit(HOT_KEYS).select(F.col("_jk").alias("_hk"), F.col("_jv").alias("_hv"))
-    cold = packed.select("_jk", "_jv", F.lit(0).cast("long").alias("_js"))
-    found = rows.join(F.broadcast(hot), F.col(key) == F.col("_hk"), "left")
-    past = F.col("_hv").isNotNull() | F.col(key).isNull()
-    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(4096)) + 1
-    salted = found.withColumn("_rs", F.when(past, spread).otherwise(0))
-    out = salted.join(cold, (F.col(key) == F.col("_jk")) & (F.col("_rs") == F.col("_js")), "left")
-    value = F.coalesce("_hv", "_jv")
-    out = out.where(value.isNotNull()) if how == "inner" else out
-    return out.select(*rows.columns, *[value[c].alias(c) for c in values])
+    hot = F.broadcast(packed.orderBy("_jo", "_jk").limit(HOT_KEYS).select("_jk", "_jv"))
+    same = F.col(key) == F.col("_jk")
+    out = [*rows.columns, *[F.col("_jv")[c].alias(c) for c in values]]
+    keyed = rows.where(F.col(key).isNotNull())
+    cold = keyed.join(hot, same, "left_anti").join(packed.select("_jk", "_jv"), same, how)
+    found = keyed.join(hot, same).select(*out).unionByName(cold.select(*out))
+    if how == "inner":
+        return found
+    return found.unionByName(rows.where(F.col(key).isNull()), allowMissingColumns=True)
 
 
 def idf_table(counts: DataFrame, doc: str, smooth: bool = True) -> DataFrame:

@@ -7,6 +7,7 @@ are met by windows inside blocks of positions whose edge rows are copied.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -123,17 +124,22 @@ def batchify(df: DataFrame, order: Sequence[str], bsz: int) -> DataFrame:
 
 
 def batchify_documents(docs: DataFrame, order: Sequence[str], tokens: str, bsz: int,
-                       token: str = "token", at: str = "tpos") -> DataFrame:
-    """W6 for documents that hold their tokens as an array: the stream of all tokens by document, then place.
+                       token: str = "token", at: str = "tpos", sep: str | None = None) -> DataFrame:
+    """W6 for documents that hold their tokens: the stream of all tokens by document, then place.
 
+    ``tokens`` is an array, or with ``sep`` a string of tokens joined by it ('' for none), which is
+    far smaller to shuffle.
     A document's first position is the sum of the sizes before it, so documents are ordered
-    (``order`` must be unique) and tokens never are.  A NULL array counts as empty.  Returns the other
+    (``order`` must be unique) and tokens never are.  NULL counts as empty.  Returns the other
     columns of ``docs`` with (at, token, batch, pos).
     """
-    sized = docs.withColumn("_n", F.greatest(F.size(tokens), F.lit(0)))
+    held = F.col(tokens)
+    if sep is not None:
+        held = F.when(held != "", F.split(held, re.escape(sep)))
+    sized = docs.withColumn("_n", F.greatest(F.coalesce(F.size(held), F.lit(0)), F.lit(0)))
     first = running_sums(sized, order, ["_n"], ["_first"])
     kept = [c for c in docs.columns if c != tokens]
-    idx = (first.select(*kept, "_first", F.posexplode(tokens).alias(at, token))
+    idx = (first.select(*kept, "_first", F.posexplode(held).alias(at, token))
            .withColumn("_i", F.col("_first") + F.col(at)).drop("_first"))
     return _cut(idx, sized.select(F.sum("_n")).scalar(), bsz)
 

@@ -35,14 +35,15 @@ b AS (SELECT doc_id, tpos, token, CAST(floor(i / sl) AS INTEGER) AS batch, CAST(
 """
 
 
-def _token_arrays(spark, sf):
+def _token_lines(spark, sf):
+    """Each document's tokens in one string: they hold no blank, and an array takes several times the room."""
     docs = table(spark, sf, "documents")
-    return materialize(docs.select("doc_id", T.basic_tokens("text").alias("tokens")), "token-arrays")
+    return materialize(docs.select("doc_id", F.array_join(T.basic_tokens("text"), " ").alias("tokens")), "token-lines")
 
 
 def batches(spark, sf):
     """The corpus as one token stream in (doc_id, tpos) order, cut into BSZ columns."""
-    return W.batchify_documents(_token_arrays(spark, sf), ["doc_id"], "tokens", BSZ)
+    return W.batchify_documents(_token_lines(spark, sf), ["doc_id"], "tokens", BSZ, sep=" ")
 
 
 @register("batchify_corpus", f"WITH {_BATCH_SQL} SELECT * FROM b")
@@ -79,10 +80,11 @@ ids AS (SELECT batch, pos, CAST(coalesce(v.id, 0) AS BIGINT) AS token_id FROM b
 
 def batched_ids(spark, sf):
     """Q8: the corpus as ids of the training documents' vocabulary, in BSZ columns; texts are tokenised once."""
-    arrays = _token_arrays(spark, sf)
-    train = arrays.where(hash_unit(42, ["doc_id"]) < 0.85).select(F.explode("tokens").alias("token"))
-    stream = W.batchify_documents(arrays, ["doc_id"], "tokens", BSZ).select("batch", "pos", "token")
-    return X.numericalise(stream, X.vocabulary(train)).select("batch", "pos", "token_id")
+    lines = _token_lines(spark, sf)
+    train = lines.where((hash_unit(42, ["doc_id"]) < 0.85) & (F.col("tokens") != ""))
+    vocab = materialize(X.vocabulary(train.select(F.explode(F.split("tokens", " ")).alias("token"))), "vocabulary")
+    stream = W.batchify_documents(lines, ["doc_id"], "tokens", BSZ, sep=" ").select("batch", "pos", "token")
+    return X.numericalise(stream, vocab).select("batch", "pos", "token_id")
 
 
 @register("next_id_pairs_corpus", f"""

@@ -42,10 +42,13 @@ def test_pairs_skip_gaps(spark, block):
     assert got == {("a", p): f"t{p + 1}" for p in range(19) if p not in (8, 9)}
 
 
-def test_documents_as_one_stream(spark):
+@pytest.mark.parametrize("sep", [None, "|"])
+def test_documents_as_one_stream(spark, sep):
     docs = spark.createDataFrame([(3, ["a", "b"]), (1, ["c"]), (2, None), (4, []), (5, ["d", "e", "f", "g"])],
                                  "doc_id long, toks array<string>")
-    rows = W.batchify_documents(docs, ["doc_id"], "toks", 3).collect()
+    if sep:
+        docs = docs.withColumn("toks", F.array_join("toks", sep))
+    rows = W.batchify_documents(docs, ["doc_id"], "toks", 3, sep=sep).collect()
     got = {(r.batch, r.pos): (r.doc_id, r.tpos, r.token) for r in rows}
     assert got == {(0, 0): (1, 0, "c"), (0, 1): (3, 0, "a"), (1, 0): (3, 1, "b"), (1, 1): (5, 0, "d"),
                    (2, 0): (5, 1, "e"), (2, 1): (5, 2, "f")}
