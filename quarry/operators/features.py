@@ -164,20 +164,17 @@ def numericalise(tokens: DataFrame, vocab: DataFrame, token: str = "token",
     return found.withColumn(name, F.coalesce("_vid", F.lit(unk_id)).cast("long")).drop("_vid")
 
 
+#: (key, gram) counts that a task holds before it hands them on; a row's own are never split
+HELD_GRAMS = 200_000
+
+
 def _gram_counter(key: list[str], n: int, name: str):
     def count(batches):
         import collections
 
         import pandas as pd
-        for pdf in batches:
-            # one Counter per distinct key inside the Arrow batch: a partial
-            # aggregate before the shuffle (per document, or per language, ...)
-            per_key: dict = collections.defaultdict(collections.Counter)
-            keyvals = list(zip(*[pdf[k].tolist() for k in key])) if key else [()] * len(pdf)
-            for kv, s in zip(keyvals, pdf["_t"].tolist()):
-                if not isinstance(s, str) or len(s) < n:
-                    continue
-                per_key[kv].update(s[i:i + n] for i in range(len(s) - n + 1))
+
+        def frame(per_key):
             cols = {k: [] for k in key}
             grams, counts = [], []
             for kv, c in per_key.items():
@@ -185,8 +182,26 @@ def _gram_counter(key: list[str], n: int, name: str):
                 counts.extend(c.values())
                 for j, k in enumerate(key):
                     cols[k].extend([kv[j]] * len(c))
-            if grams:
-                yield pd.DataFrame({**cols, name: pd.Series(grams, dtype=object), "count": pd.Series(counts, dtype="int64")})
+            return pd.DataFrame({**cols, name: pd.Series(grams, dtype=object), "count": pd.Series(counts, dtype="int64")})
+        for pdf in batches:
+            # one Counter per distinct key: a partial aggregate before the shuffle
+            # (per document, or per language, ...), handed on in bounded pieces
+            per_key: dict = collections.defaultdict(collections.Counter)
+            held = 0
+            keyvals = zip(*[pdf[k].tolist() for k in key]) if key else iter([()] * len(pdf))
+            for kv, s in zip(keyvals, pdf["_t"]):
+                if not isinstance(s, str) or len(s) < n:
+                    continue
+                own = per_key[kv]
+                held -= len(own)
+                own.update([s[i:i + n] for i in range(len(s) - n + 1)])
+                held += len(own)
+                if held >= HELD_GRAMS:
+                    yield frame(per_key)
+                    per_key.clear()
+                    held = 0
+            if held:
+                yield frame(per_key)
     return count
 
 
