@@ -79,8 +79,10 @@ def _bracketed_counts(df: DataFrame, cols: Sequence[str], probs: Sequence[float]
               for i, x in enumerate(xs)]
     k = len(probs)
     if by:
-        # one row for each group; joined on the group, so its measured size decides how
-        g = df.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)]).agg(*sketch)
+        # one row for each group; stored first, so that its known size decides how it is joined: few
+        # groups are broadcast and the rows are not dealt by group
+        from quarry.sources.files import materialize
+        g = materialize(df.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)]).agg(*sketch), "group-sketches")
         rows = df.join(g, [df[c].eqNullSafe(g[f"_g{i}"]) for i, c in enumerate(by)])
         size = [F.col(f"_q{i}.n") for i in range(len(cols))]
         edge = [[F.col(f"_q{i}.q")[j] for j in range(2 * k)] for i in range(len(cols))]

@@ -1,6 +1,7 @@
 """What a task holds, sends or shuffles does not follow from the size of its input."""
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from quarry.operators import features as X
 
@@ -13,3 +14,29 @@ def test_gram_counts_leave_in_bounded_pieces(monkeypatch):
     got = pd.concat(frames)
     assert got["count"].sum() == sum(len(t) - 2 for t in rows["_t"])
     assert not got.duplicated(["k", "g"]).any()
+
+
+def test_drawn_rows_are_bounded_before_they_are_sorted(spark, monkeypatch):
+    from quarry.operators import sample as S
+    rows = [(i % 3000, i % 7 if i % 50 else None) for i in range(4000)] + [(None, 1)]
+    df = spark.createDataFrame(rows, "k long, g long")
+    got = S.sample_n(df, ["k"], 5, seed=3, replicates=4)
+    kept = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "_t#" in line and "<=" in line]
+    assert kept
+    whole = df.selectExpr("*", "explode(sequence(1, 4)) AS replicate").withColumn("h", S.hash_bits(3, ["replicate", "k"]))
+    whole.createOrReplaceTempView("whole_draw")
+    for by in ("", ", g"):
+        want = spark.sql(f"SELECT k, replicate FROM (SELECT *, row_number() OVER (PARTITION BY replicate{by} ORDER BY h, k) AS r "
+                         "FROM whole_draw) WHERE r <= 5")
+        found = S.sample_n(df, ["k"], 5, seed=3, replicates=4, by=["g"] if by else [])
+        assert sorted(((r.replicate, r.k) for r in found.collect()), key=lambda t: (t[0], t[1] is not None, t[1] or 0)) == sorted(
+            ((r.replicate, r.k) for r in want.collect()), key=lambda t: (t[0], t[1] is not None, t[1] or 0))
+
+
+def test_few_groups_do_not_deal_the_rows(spark):
+    from quarry.operators import agg
+    df = spark.range(20_000).selectExpr("id % 3 AS g", "CAST(id AS double) AS x").withColumn("g", F.when(F.col("g") > 0, F.col("g")))
+    plan = agg._bracketed_counts(df, ["x"], (0.5,), ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    got = {(r.g, r.stat): r.value for r in agg.describe_by(df, ["g"], ["x"]).collect()}
+    assert got[None, "50%"] == 9999 and got[1, "50%"] == 10000 - 0.0 and got[2, "count"] == 6666
