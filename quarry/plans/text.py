@@ -302,12 +302,15 @@ seg AS (SELECT doc_id, lang, avg(nll) AS mean_loss, count(*) AS n_tokens FROM ev
 def unigram_losses(spark, sf):
     """Per held-out document: mean negative log-likelihood under an add-one
     unigram model of the training documents, and its token count."""
-    tok = split_documents(spark, sf).select("doc_id", "lang", "part", F.explode(T.basic_tokens("text")).alias("token"))
-    counts = materialize(tok.groupBy(*tok.columns).agg(F.count(F.lit(1)).alias("k")), "token-counts")
-    vocab = materialize(counts.where("part = 'train'").where(F.col("token") != "<unk>")
-                        .groupBy("token").agg(F.sum("k").alias("n")), "unigrams")
+    d = split_documents(spark, sf)
+    tok = d.select("doc_id", "lang", "part", F.explode(T.basic_tokens("text")).alias("token"))
+    # the training documents are only needed as one count a token, added up in the tasks before the shuffle
+    vocab = materialize(tok.where("part = 'train'").where(F.col("token") != "<unk>")
+                        .groupBy("token").agg(F.count(F.lit(1)).alias("n")), "unigrams")
     N, V = vocab.select(F.sum("n")).scalar(), vocab.select(F.count(F.lit(1)) + 1).scalar()
-    ev = X.join_terms(counts.where("part = 'test'"), vocab, "token", -F.col("n"), "left").withColumn(
+    counts = materialize(tok.where("part = 'test'").groupBy("doc_id", "lang", "token")
+                         .agg(F.count(F.lit(1)).alias("k")), "token-counts")
+    ev = X.join_terms(counts, vocab, "token", -F.col("n"), "left").withColumn(
         "nll", -F.ln((F.coalesce("n", F.lit(0)) + 1.0) / (N + V)))
     return ev.groupBy("doc_id", "lang").agg((F.sum(F.col("k") * F.col("nll")) / F.sum("k")).alias("mean_loss"),
                                             F.sum("k").alias("n_tokens"))
