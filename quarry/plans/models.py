@@ -23,6 +23,7 @@ from quarry.operators.sample import kfold
 from quarry.plans.registry import SIG, SIG6, register
 from quarry.plans.sqlhelp import sql_eliminate, sql_hash_bits, sql_kfold_regression
 from quarry.session import table
+from quarry.sources.files import materialize
 
 NUMERIC_LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 ORDER_FEATURES = ["n_lines", "sum_qty", "avg_discount", "avg_tax"]
@@ -170,7 +171,8 @@ def logistic_cv_orders(spark, sf):
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     from quarry.operators.features import with_class_weights
-    df = with_class_weights(_assembled(spark, sf), "label", "w")
+    # every fold reads the rows; the orders' features are worked out once
+    df = with_class_weights(materialize(_assembled(spark, sf), "order-features"), "label", "w")
     est = LogisticRegression(labelCol="label", featuresCol="features", weightCol="w", maxIter=50)
     _, points = C.cross_validate(est, {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5]},
                                  BinaryClassificationEvaluator(labelCol="label"), df, "fold", k=5)

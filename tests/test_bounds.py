@@ -40,3 +40,38 @@ def test_few_groups_do_not_deal_the_rows(spark):
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
     got = {(r.g, r.stat): r.value for r in agg.describe_by(df, ["g"], ["x"]).collect()}
     assert got[None, "50%"] == 9999 and got[1, "50%"] == 10000 - 0.0 and got[2, "count"] == 6666
+
+
+def _stored(monkeypatch, module):
+    """What ``module`` stores, by name."""
+    found, real = {}, module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, name: found.setdefault(name, real(df, name)), raising=False)
+    return found
+
+
+def test_training_documents_are_counted_by_token_only(spark, tmp_path, monkeypatch):
+    from quarry.plans import text
+    rows = [(i, "en", f"a b b w{i}") for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = _stored(monkeypatch, text)
+    got = text.perplexity_by_language(spark, str(tmp_path)).first()
+    part = {r.doc_id: r.part for r in text.split_documents(spark, str(tmp_path)).collect()}
+    train, test = [[i for i in part if part[i] == p] for p in ("train", "test")]
+    assert train and {r.doc_id for r in found["token-counts"].collect()} == set(test)
+    import math
+    N, V = 4 * len(train), len(train) + 3
+    loss = -(math.log((len(train) + 1) / (N + V)) + 2 * math.log((2 * len(train) + 1) / (N + V)) + math.log(1 / (N + V))) / 4
+    assert abs(got.mean_loss - loss) < 1e-9
+
+
+def test_folds_read_stored_features(spark, tmp_path, monkeypatch):
+    from quarry.plans import models
+    found = _stored(monkeypatch, models)
+
+    def stop(estimator, grid, evaluator, df, fold_col, k=None, parallelism=2):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_extendedprice" not in plan and "l_tax" not in plan
+        return None, [({"regParam": 0.1, "elasticNetParam": 0.0}, 0.5)]
+    monkeypatch.setattr(models.C, "cross_validate", stop)
+    assert models.logistic_cv_orders(spark, "/root/testdata/sf0.001").count() == 1
+    assert found["order-features"].count() > 0
