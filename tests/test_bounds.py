@@ -66,6 +66,11 @@ def test_training_documents_are_counted_by_token_only(spark, tmp_path, monkeypat
 
 def test_folds_read_stored_features(spark, tmp_path, monkeypatch):
     from quarry.plans import models
+    spark.range(40).selectExpr("id AS o_orderkey", "id AS o_custkey", "if(id % 2 = 0, 'F', 'O') AS o_orderstatus", "id * 1.5D AS o_totalprice",
+                               "timestamp'2020-01-01' AS o_orderdate", "'1-URGENT' AS o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(120).selectExpr("id % 40 AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "CAST(id AS int) AS l_linenumber",
+                                "id * 1.0D AS l_quantity", "id * 2.0D AS l_extendedprice", "0.1D AS l_discount", "0.2D AS l_tax",
+                                "'A' AS l_returnflag", "'F' AS l_linestatus", "timestamp'2020-01-01' AS l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
     found = _stored(monkeypatch, models)
 
     def stop(estimator, grid, evaluator, df, fold_col, k=None, parallelism=2):
@@ -73,5 +78,17 @@ def test_folds_read_stored_features(spark, tmp_path, monkeypatch):
         assert "l_extendedprice" not in plan and "l_tax" not in plan
         return None, [({"regParam": 0.1, "elasticNetParam": 0.0}, 0.5)]
     monkeypatch.setattr(models.C, "cross_validate", stop)
-    assert models.logistic_cv_orders(spark, "/root/testdata/sf0.001").count() == 1
+    assert models.logistic_cv_orders(spark, str(tmp_path)).count() == 1
     assert found["order-features"].count() > 0
+
+
+def test_models_of_a_grid_are_held_in_bounded_groups(spark, monkeypatch):
+    from quarry.operators import logit as L
+    rows = [(float(j % 2), j % 3, [j % 2, 2 + j % 5], [1.0, 0.5]) for j in range(60)]
+    df = spark.createDataFrame(rows, "label double, fold int, i array<int>, x array<double>").coalesce(2).persist()
+    w, points = L.cv_balanced(df, 8, [0.1, 1.0], k=3, max_passes=4)
+    sizes, fit = [], L.fit_many
+    monkeypatch.setattr(L, "FITTED", 4 * 10, raising=False)
+    monkeypatch.setattr(L, "fit_many", lambda rows, size, specs, *a: sizes.append(len(specs)) or fit(rows, size, specs, *a))
+    again, same = L.cv_balanced(df, 8, [0.1, 1.0], k=3, max_passes=4)
+    assert sizes == [4, 2, 1] and same == points and (again == w).all()
