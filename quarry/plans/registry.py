@@ -26,7 +26,8 @@ def _spark_round(c: str, d) -> "F.Column":
     if d in (SIG, SIG6):
         k = 1e8 if d == SIG else 1e5
         e = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(x))))
-        return F.when(x == 0, F.lit(0.0)).otherwise(
+        # below 1e-323 the power of ten is 0 and there is nothing to round
+        return F.when(x == 0, F.lit(0.0)).when(e == 0, x).otherwise(
             F.round(x / e * F.lit(k), 0) / F.lit(k) * e).alias(c)
     return (F.round(x * F.lit(float(10 ** d)), 0) / F.lit(float(10 ** d))).alias(c)
 

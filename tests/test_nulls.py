@@ -42,3 +42,12 @@ def test_one_hot_has_a_slot_per_level(spark):
     df = spark.createDataFrame([("a",), ("b",), ("a",)], "c string")
     out = classify.one_hot(classify.index_categories(df, ["c"]), ["c_idx"])
     assert {r.c_idx_vec.size for r in out.collect()} == {2}
+
+
+def test_smallest_numbers_are_rounded(spark, tmp_path):
+    """exp(value - max) may be the smallest number above 0, whose power of ten is 0."""
+    from quarry.plans import catalog
+    rows = [(k, 1, v) for k, v in enumerate((0.0, 0.3, 0.6, 1.0, 745.1))]
+    spark.createDataFrame(rows, "event_id long, user_id long, value double").write.parquet(f"{tmp_path}/events.parquet")
+    got = {r.event_id: r.softmax for r in catalog.REGISTRY["softmax_events_per_user"].run(spark, str(tmp_path)).collect()}
+    assert len(got) == 5 and got[4] == 1.0 and 0 < got[0] < 1e-322
