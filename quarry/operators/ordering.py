@@ -136,12 +136,12 @@ def row_index(df: DataFrame, order: Sequence[str], *, weight: str | None = None,
             .drop("_bkt", "_loc", "_off"))
 
 
-def with_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+def with_groups(df: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Rows with the columns of their group (``groups`` has one row a group); a NULL key is a group too."""
     g = groups.select(*[F.col(k).alias(f"_wg{i}") for i, k in enumerate(keys)],
                       *[c for c in groups.columns if c not in keys])
     same = [F.col(k).eqNullSafe(F.col(f"_wg{i}")) for i, k in enumerate(keys)]
-    return df.join(g, same).drop(*[f"_wg{i}" for i in range(len(keys))])
+    return df.join(g, same, how).drop(*[f"_wg{i}" for i in range(len(keys))])
 
 
 def group_row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,

@@ -130,8 +130,8 @@ def split_documents(spark, sf):
 
 
 def document_terms(spark, sf):
-    """(doc_id, part, term, tf), counted once for all that follows."""
-    return materialize(X.term_counts(split_documents(spark, sf), ["doc_id", "part"], "text"), "document-terms")
+    """(doc_id, part, terms, tfs), counted once for all that follows."""
+    return X.term_lists(split_documents(spark, sf), ["doc_id", "part"], "text")
 
 
 @register("tfidf_test_documents", f"""

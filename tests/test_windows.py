@@ -87,3 +87,61 @@ def test_ngrams_of_code_points(spark, unique):
             want[(k, s[i:i + 3])] = want.get((k, s[i:i + 3]), 0) + 1
     got = {(r.k, r.gram): r["count"] for r in X.char_ngrams(df, ["k"], "s", 3, unique_rows=unique).collect()}
     assert got == want
+
+
+@pytest.mark.parametrize("sep", [None, " "])
+def test_runs_equal_rows(spark, monkeypatch, sep):
+    """Runs of tokens give the pairs, chunks and ids of single tokens."""
+    monkeypatch.setattr(X, "HELD_KEYS", 2)
+    texts = [(k, [f"w{(k * 7 + j * j) % 11}" for j in range((k * 5) % 23)]) for k in range(40)] + [(40, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, toks array<string>")
+    if sep:
+        docs = docs.withColumn("toks", F.array_join("toks", sep))
+    rows = W.batchify_documents(docs, ["doc_id"], "toks", 3, sep=sep).select("batch", "pos", "token").persist()
+    runs = W.batchify_documents(docs, ["doc_id"], "toks", 3, sep=sep, runs=True)
+    assert runs.count() <= 42
+    runs = runs.select("batch", "pos", "token").persist()
+    vocab = X.vocabulary(rows.where("token <> 'w3'")).persist()
+    ids = X.numericalise(rows, vocab).select("batch", "pos", "token_id")
+    id_runs = X.numericalise(runs, vocab)
+    assert id_runs.columns == ["batch", "pos", "token_id"]
+    for a, b, col in ((rows, runs, "token"), (ids, id_runs, "token_id")):
+        pairs = sorted(map(tuple, W.next_token_pairs(a, ["batch"], "pos", col).collect()))
+        assert pairs and pairs == sorted(map(tuple, W.next_token_pairs(b, ["batch"], "pos", col, runs=True).collect()))
+        chunks = sorted(map(tuple, W.bptt_chunks(a, ["batch"], "pos", col, 6).collect()))
+        assert chunks and chunks == sorted(map(tuple, W.bptt_chunks(b, ["batch"], "pos", col, 6, runs=True).collect()))
+
+
+def test_no_tokens_no_runs(spark):
+    docs = spark.createDataFrame([(1, ["a"]), (2, [])], "doc_id long, toks array<string>")
+    assert W.batchify_documents(docs, ["doc_id"], "toks", 3, runs=True).count() == 0
+    assert W.batchify_documents(docs.where("false"), ["doc_id"], "toks", 3, runs=True).count() == 0
+
+
+def test_term_lists_equal_term_rows(spark, monkeypatch):
+    """Documents whose key repeats or is null are added up as before; lists and rows give the same weights."""
+    monkeypatch.setattr(X, "HELD_KEYS", 2)
+    docs = spark.createDataFrame([(1, "red red blue the"), (2, "blue green"), (2, "blue Red"), (None, "green"), (None, "green tea"),
+                                  (3, ""), (4, None), (5, "unseen tea red")], "doc_id long, text string")
+    counts = X.term_counts(docs, ["doc_id"], "text").persist()
+    lists = X.term_lists(docs, ["doc_id"], "text")
+    order = lambda rows: sorted(map(str, rows))
+    flat = lists.select("doc_id", F.explode(F.arrays_zip("terms", "tfs")).alias("z")).select("doc_id", "z.terms", "z.tfs")
+    assert order(map(tuple, flat.collect())) == order(map(tuple, counts.collect()))
+    known = (F.col("doc_id") < 4) | F.col("doc_id").isNull()
+    a, b = ({(r.doc_id, r.term): r.weight for r in X.tfidf(t.where(known), t, "doc_id").collect()} for t in (counts, lists))
+    assert a.keys() == b.keys() and (5, "unseen") not in b and all(a[k] == pytest.approx(b[k]) for k in a)
+
+
+def test_summary_ranks_only_terms_that_need_it(spark, monkeypatch):
+    from quarry.operators import agg
+    import numpy as np
+    entries = {"rare": [0.5], "half": [0.25] * 6, "most": [0.1 * k for k in range(1, 10)], "below": [-0.5] * 4, "mixed": [-1.0, -1.0, 2.0, 2.0]}
+    w = spark.createDataFrame([(k, t, v) for t, vs in entries.items() for k, v in enumerate(vs)], "doc int, term string, weight double")
+    ranked, plain = [], agg.quantiles_from_counts
+    monkeypatch.setattr(agg, "quantiles_from_counts", lambda c, *a: ranked.extend(r.term for r in c.select("term").distinct().collect()) or plain(c, *a))
+    got = {(r.term, r.stat): r.value for r in X.feature_summary(w, "doc", 10).collect()}
+    assert sorted(ranked) == ["below", "half", "most"]
+    for t, vs in entries.items():
+        for p in (25, 50, 75):
+            assert got[t, f"{p}%"] == pytest.approx(np.percentile(vs + [0.0] * (10 - len(vs)), p)), (t, p)
