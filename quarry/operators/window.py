@@ -124,48 +124,109 @@ def batchify(df: DataFrame, order: Sequence[str], bsz: int) -> DataFrame:
 
 
 def batchify_documents(docs: DataFrame, order: Sequence[str], tokens: str, bsz: int,
-                       token: str = "token", at: str = "tpos", sep: str | None = None) -> DataFrame:
+                       token: str = "token", at: str = "tpos", sep: str | None = None, runs: bool = False) -> DataFrame:
     """W6 for documents that hold their tokens: the stream of all tokens by document, then place.
 
     ``tokens`` is an array, or with ``sep`` a string of tokens joined by it ('' for none), which is
     far smaller to shuffle.
     A document's first position is the sum of the sizes before it, so documents are ordered
     (``order`` must be unique) and tokens never are.  NULL counts as empty.  Returns the other
-    columns of ``docs`` with (at, token, batch, pos).
+    columns of ``docs`` with (at, token, batch, pos).  With ``runs`` a row is a run, all tokens of a document
+    in one column: ``token`` is their array, ``at`` and ``pos`` are the places of the first one.
     """
     held = F.col(tokens)
     if sep is not None:
         held = F.when(held != "", F.split(held, re.escape(sep)))
-    sized = docs.withColumn("_n", F.greatest(F.coalesce(F.size(held), F.lit(0)), F.lit(0)))
+    n = F.size(held)
+    if sep is not None:  # separators are counted without splitting
+        n = F.when(F.col(tokens) != "", F.floor((F.octet_length(tokens) - F.octet_length(F.replace(F.col(tokens), F.lit(sep), F.lit(""))))
+                                                / len(sep.encode())).cast("int") + 1)
+    sized = docs.withColumn("_n", F.greatest(F.coalesce(n, F.lit(0)), F.lit(0)))
     first = running_sums(sized, order, ["_n"], ["_first"])
     kept = [c for c in docs.columns if c != tokens]
+    if runs:
+        return _runs(first, sized.select(F.sum("_n")).scalar(), bsz, kept, held, token, at)
     idx = (first.select(*kept, "_first", F.posexplode(held).alias(at, token))
            .withColumn("_i", F.col("_first") + F.col(at)).drop("_first"))
     return _cut(idx, sized.select(F.sum("_n")).scalar(), bsz)
 
 
+def _runs(first: DataFrame, total: Column, bsz: int, kept: Sequence[str], held: Column, token: str, at: str) -> DataFrame:
+    """Documents with ``_first`` and ``_n`` cut at the ends of the columns."""
+    step = F.greatest(F.col("_len"), F.lit(1))
+    cut = (first.withColumn("_len", F.floor(total / F.lit(bsz)))
+           .withColumn("_end", F.least(F.col("_first") + F.col("_n"), F.col("_len") * bsz)).where("_first < _end"))
+    parts = cut.select(*kept, "_first", "_end", step.alias("_step"), held.alias("_held"),
+                       F.explode(F.sequence(F.floor(F.col("_first") / step), F.floor((F.col("_end") - 1) / step))).alias("_b"))
+    start = F.greatest(F.col("_first"), F.col("_b") * F.col("_step"))
+    stop = F.least(F.col("_end"), (F.col("_b") + 1) * F.col("_step"))
+    skip = (start - F.col("_first")).cast("int")
+    return parts.select(*kept, skip.alias(at), F.slice("_held", skip + 1, (stop - start).cast("int")).alias(token),
+                        F.col("_b").cast("int").alias("batch"), (start - F.col("_b") * F.col("_step")).cast("long").alias("pos"))
+
+
 def next_token_pairs(df: DataFrame, seq: Sequence[str], pos: str, token: str,
-                     name: str = "target") -> DataFrame:
+                     name: str = "target", runs: bool = False) -> DataFrame:
     """Target is the token one position later in the same sequence; a position without a
     next one is dropped.  ``lead`` runs inside blocks of positions, so a sequence may be of
-    any length.  Positions must be unique in a sequence."""
+    any length.  Positions must be unique in a sequence.
+
+    With ``runs`` a row holds an array of consecutive tokens from ``pos`` on: pairs are made inside it, and only
+    the first and last token of a run are shuffled.  Returns (seq..., pos, token, target); ``df`` is read twice."""
     seq = list(seq)
+    if runs:
+        return _pairs_of_runs(df, seq, pos, token, name)
     w = Window.partitionBy(*seq, "_blk").orderBy(pos)
     nxt = _blocked(df, pos, after=1).withColumns({name: F.lead(token).over(w), "_next": F.lead(pos).over(w)})
     return nxt.where(F.col("_own") & (F.col("_next") == F.col(pos) + 1)).drop("_blk", "_own", "_next")
 
 
+def _pairs_of_runs(df: DataFrame, seq: list[str], pos: str, token: str, name: str) -> DataFrame:
+    inner = (df.select(*seq, F.col(pos).alias("_p"), F.col(token).alias("_run"), F.posexplode(token).alias("_i", "_t"))
+             .where(F.col("_i") < F.size("_run") - 1)
+             .select(*seq, (F.col("_p") + F.col("_i")).alias(pos), F.col("_t").alias(token),
+                     F.get("_run", F.col("_i") + 1).alias(name)))
+    n = F.size(token)
+    end = F.struct((F.col(pos) + n).alias("at"), F.lit(True).alias("end"), F.get(token, n - 1).alias("t"))
+    start = F.struct(F.col(pos).alias("at"), F.lit(False).alias("end"), F.get(token, F.lit(0)).alias("t"))
+    edges = df.where(n > 0).select(*seq, F.explode(F.array(end, start)).alias("_e")).select(*seq, "_e.*")
+    met = edges.groupBy(*seq, "at").agg(
+        F.bool_or("end").alias("_l"), F.bool_or(~F.col("end")).alias("_r"),
+        F.first(F.when(F.col("end"), F.col("t")), True).alias(token), F.first(F.when(~F.col("end"), F.col("t")), True).alias(name))
+    return inner.unionByName(met.where("_l AND _r").select(*seq, (F.col("at") - 1).alias(pos), token, name))
+
+
 def bptt_chunks(df: DataFrame, seq: Sequence[str], pos: str, token: str,
-                bptt: int = 35) -> DataFrame:
+                bptt: int = 35, runs: bool = False) -> DataFrame:
     """Consecutive chunks of ``bptt`` positions (the last one shorter), as
-    ordered token arrays: (seq..., chunk, tokens, n)."""
+    ordered token arrays: (seq..., chunk, tokens, n).
+
+    With ``runs`` a row holds an array of consecutive tokens from ``pos`` on: whole chunks are cut out of it and
+    only the rest is shuffled.  ``df`` is read twice."""
     seq = list(seq)
+    if runs:
+        return _chunks_of_runs(df, seq, pos, token, bptt)
     g = df.groupBy(*seq, F.floor(F.col(pos) / bptt).cast("long").alias("chunk")).agg(
         F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(token).alias("t")))).alias("_s"))
     return g.select(*seq, "chunk", F.transform("_s", lambda x: x["t"]).alias("tokens"),
                     F.size("_s").cast("long").alias("n"))
 
 
+def _chunks_of_runs(df: DataFrame, seq: list[str], pos: str, token: str, bptt: int) -> DataFrame:
+    p, n = F.col(pos), F.size(token)
+
+    def piece(c):
+        start, stop = F.greatest(p, c * bptt), F.least(p + n, (c + 1) * bptt)
+        return F.struct(c.alias("chunk"), start.alias("p"),
+                        F.slice(token, (start - p + 1).cast("int"), (stop - start).cast("int")).alias("t"))
+    chunks = F.sequence(F.floor(p / bptt), F.floor((p + n - 1) / bptt))
+    cut = df.where(n > 0).select(*seq, F.explode(F.transform(chunks, piece)).alias("_c")).select(*seq, "_c.*")
+    whole = cut.where(F.size("t") == bptt).select(*seq, "chunk", F.col("t").alias("tokens"))
+    rest = cut.where(F.size("t") < bptt).groupBy(*seq, "chunk").agg(F.array_sort(F.collect_list(F.struct("p", "t"))).alias("_s"))
+    joined = rest.select(*seq, "chunk", F.flatten(F.transform("_s", lambda x: x["t"])).alias("tokens"))
+    return whole.unionByName(joined).withColumn("n", F.size("tokens").cast("long"))
+
+
 def top_k_per_key(df: DataFrame, key: Sequence[str], score: str, k: int,
                   tie: Sequence[str] = (), name: str = "rank") -> DataFrame:
     """The ``k`` best rows per key (score descending, ties by ``tie``).

@@ -41,9 +41,11 @@ def _token_lines(spark, sf):
     return materialize(docs.select("doc_id", F.array_join(T.basic_tokens("text"), " ").alias("tokens")), "token-lines")
 
 
-def batches(spark, sf):
-    """The corpus as one token stream in (doc_id, tpos) order, cut into BSZ columns."""
-    return W.batchify_documents(_token_lines(spark, sf), ["doc_id"], "tokens", BSZ, sep=" ")
+def batches(spark, sf, runs=False):
+    """The corpus as one token stream in (doc_id, tpos) order, cut into BSZ columns; ``runs`` are stored, as
+    they are read twice."""
+    out = W.batchify_documents(_token_lines(spark, sf), ["doc_id"], "tokens", BSZ, sep=" ", runs=runs)
+    return materialize(out.select("batch", "pos", "token"), "token-runs") if runs else out
 
 
 @register("batchify_corpus", f"WITH {_BATCH_SQL} SELECT * FROM b")
@@ -57,8 +59,7 @@ SELECT * FROM (SELECT batch, pos, token, lead(token) OVER (PARTITION BY batch OR
 WHERE target IS NOT NULL
 """)
 def next_token_pairs_corpus(spark, sf):
-    b = batches(spark, sf).select("batch", "pos", "token")
-    return W.next_token_pairs(b, ["batch"], "pos", "token")
+    return W.next_token_pairs(batches(spark, sf, runs=True), ["batch"], "pos", "token", runs=True)
 
 
 @register("bptt_chunks_corpus", f"""
@@ -67,7 +68,7 @@ SELECT batch, CAST(floor(pos / {BPTT}) AS BIGINT) AS chunk, list(token ORDER BY
        count(*) AS n FROM b GROUP BY ALL
 """)
 def bptt_chunks_corpus(spark, sf):
-    return W.bptt_chunks(batches(spark, sf), ["batch"], "pos", "token", BPTT)
+    return W.bptt_chunks(batches(spark, sf, runs=True), ["batch"], "pos", "token", BPTT, runs=True)
 
 
 _IDS_SQL = f"""
@@ -79,12 +80,12 @@ ids AS (SELECT batch, pos, CAST(coalesce(v.id, 0) AS BIGINT) AS token_id FROM b
 
 
 def batched_ids(spark, sf):
-    """Q8: the corpus as ids of the training documents' vocabulary, in BSZ columns; texts are tokenised once."""
+    """Q8: the corpus as runs of ids of the training documents' vocabulary, in BSZ columns; texts are tokenised once."""
     lines = _token_lines(spark, sf)
     train = lines.where((hash_unit(42, ["doc_id"]) < 0.85) & (F.col("tokens") != ""))
     vocab = materialize(X.vocabulary(train.select(F.explode(F.split("tokens", " ")).alias("token"))), "vocabulary")
-    stream = W.batchify_documents(lines, ["doc_id"], "tokens", BSZ, sep=" ").select("batch", "pos", "token")
-    return X.numericalise(stream, vocab).select("batch", "pos", "token_id")
+    stream = W.batchify_documents(lines, ["doc_id"], "tokens", BSZ, sep=" ", runs=True).select("batch", "pos", "token")
+    return materialize(X.numericalise(stream, vocab).select("batch", "pos", "token_id"), "id-runs")
 
 
 @register("next_id_pairs_corpus", f"""
@@ -93,7 +94,7 @@ SELECT * FROM (SELECT batch, pos, token_id, lead(token_id) OVER (PARTITION BY ba
 WHERE target IS NOT NULL
 """)
 def next_id_pairs_corpus(spark, sf):
-    return W.next_token_pairs(batched_ids(spark, sf), ["batch"], "pos", "token_id")
+    return W.next_token_pairs(batched_ids(spark, sf), ["batch"], "pos", "token_id", runs=True)
 
 
 @register("bptt_id_chunks_corpus", f"""
@@ -102,7 +103,7 @@ SELECT batch, CAST(floor(pos / {BPTT}) AS BIGINT) AS chunk, list(token_id ORDER
        count(*) AS n FROM ids GROUP BY ALL
 """)
 def bptt_id_chunks_corpus(spark, sf):
-    return W.bptt_chunks(batched_ids(spark, sf), ["batch"], "pos", "token_id", BPTT)
+    return W.bptt_chunks(batched_ids(spark, sf), ["batch"], "pos", "token_id", BPTT, runs=True)
 
 
 # ------------------------------------------------ encoders and scalers
