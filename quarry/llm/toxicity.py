@@ -7,7 +7,9 @@ frequencies are counted over all documents and kept as a distributed table.
 Seven tenths of the sample become the index: postings per term, cut into
 blocks of examples with the largest weight of each block.  A query visits
 blocks by falling bound and stops when the bound is below its k-th best, so
-the k nearest examples are exact.  The rest of the sample calibrates: the
+the k nearest examples are exact.  Terms that a sixteenth of the examples or more
+hold are a matrix instead of postings: their share of the cosines is one product for many
+queries, and exact in the bounds.  The rest of the sample calibrates: the
 similarity-weighted vote of the k neighbours goes through a logistic fitted on
 it, weighted to the labels' shares among all labelled rows.
 
@@ -43,6 +45,10 @@ from quarry.llm.words import LOWER, WORD, bounds, column, lookup, prefix_hash, s
 
 PREFIXES = (4, 6)
 BLOCK = 64
+#: a term of at least one in so many examples is kept as a row of the matrix
+COMMON = 16
+#: documents whose shares are held at once
+DOCS = 512
 RANGES = 256
 RANGE_PAIRS = 2_000_000
 HELD_TERMS = 1_000_000
@@ -105,8 +111,18 @@ class Index:
         self.label = np.array([e[1] for e in examples], np.int64)
         self.blocks = -(-len(examples) // BLOCK)
         j = np.repeat(np.arange(len(examples)), [len(e[2]) for e in examples])
-        cell = np.concatenate([e[2] for e in examples]).astype(np.int64) * self.blocks + j // BLOCK
+        term = np.concatenate([e[2] for e in examples]).astype(np.int64)
         w = np.concatenate([e[3] for e in examples])
+        often = np.bincount(term, minlength=len(vocabulary)) * COMMON >= max(1, len(examples))
+        self.row = np.where(often, np.cumsum(often) - 1, -1)
+        self.matrix = np.zeros((int(often.sum()), self.blocks * BLOCK))
+        self.matrix[self.row[term[often[term]]], j[often[term]]] = w[often[term]]
+        # equal examples take the share of their first, so that they stay equal to the last bit
+        seen: dict = {}
+        first = [seen.setdefault((e[2].tobytes(), e[3].tobytes()), k) for k, e in enumerate(examples)]
+        self.first = np.append(first, np.arange(len(examples), self.blocks * BLOCK)).astype(np.int64)
+        j, w, term = j[~often[term]], w[~often[term]], term[~often[term]]
+        cell = term * self.blocks + j // BLOCK
         order = np.argsort(cell, kind="stable")
         self.example, self.weight = j[order].astype(np.int32), w[order]
         size = np.bincount(cell, minlength=len(vocabulary) * self.blocks)
@@ -120,10 +136,23 @@ class Index:
     def __getstate__(self):
         return self.__dict__ | {"frequencies": None}
 
-    def nearest(self, terms, weights, k: int):
+    def shares(self, doc, terms, weights, n: int):
+        """(n, examples): what the matrix's terms add to the cosines of ``n`` documents."""
+        at = self.row[terms]
+        x = np.zeros((n, len(self.matrix)))
+        x[doc[at >= 0], at[at >= 0]] = weights[at >= 0]
+        return (x @ self.matrix)[:, self.first]
+
+    def nearest(self, terms, weights, k: int, share=None):
         """The k examples of largest cosine above zero: (position, cosine), nearest first.
-        With weights of any norm the cosines are multiplied by that norm."""
-        bound = weights @ self.block_max[terms]
+        With weights of any norm the cosines are multiplied by that norm.  ``share`` is the document's row of
+        :meth:`shares`, worked out here if it is not given."""
+        if share is None:
+            share = self.shares(np.zeros(len(terms), np.int64), terms, weights, 1)[0]
+        rare = self.row[terms] < 0
+        terms, weights = terms[rare], weights[rare]
+        peak = self.block_max[terms]
+        bound = share.reshape(self.blocks, BLOCK).max(axis=1) + weights @ peak
         order = np.argsort(-bound, kind="stable")
         best: list[tuple[float, int]] = []
         at, step = 0, 2
@@ -134,15 +163,18 @@ class Index:
                 group = group[bound[group] >= -best[-1][0] * (1 - 1e-12) - 1e-12]
             if not len(group):
                 break
-            cell = (terms[:, None] * self.blocks + group).ravel()
+            t, g = np.nonzero(peak[:, group])  # most cells are empty
+            cell = terms[t] * self.blocks + group[g]
             lo = self.start[cell].astype(np.int64)
             size = self.start[cell + 1] - lo
             post = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            score = np.bincount(self.example[post], np.repeat(np.repeat(weights, len(group)), size) * self.weight[post])
-            hit = np.flatnonzero(score)
+            rest = np.bincount(self.example[post], np.repeat(weights[t], size) * self.weight[post], len(share))
+            own = (group[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            score = share[own] + rest[own]
+            hit = np.flatnonzero(score > 0)
             if len(hit) > k:
                 hit = hit[score[hit] >= -np.partition(-score[hit], k - 1)[k - 1]]
-            best = sorted(best + [(-float(score[i]), int(i)) for i in hit])[:k]
+            best = sorted(best + [(-float(score[i]), int(own[i])) for i in hit])[:k]
             at, step = at + step, 2 * step
         return [(j, -s) for s, j in best]
 
@@ -305,10 +337,14 @@ def score(docs: DataFrame, index: Index | None, share: float, k: int = 5, cut: f
                 norm = np.bincount(doc, w * w, b - a)
                 where = bounds(doc, b - a)
                 near: list[list] = [[] for _ in range(b - a)]
-                for d in np.unique(doc):
-                    s = slice(where[d], where[d + 1])
-                    near[d] = [{"doc_id": int(ix.ids[j]), "cosine": c, "toxic": int(ix.label[j])}
-                               for j, c in ix.nearest(term[s], w[s], k)]
+                for c0 in range(0, b - a, DOCS):
+                    c1 = min(c0 + DOCS, b - a)
+                    some = slice(where[c0], where[c1])
+                    share = ix.shares(doc[some] - c0, term[some], w[some], c1 - c0)
+                    for d in np.unique(doc[some]):
+                        s = slice(where[d], where[d + 1])
+                        near[d] = [{"doc_id": int(ix.ids[j]), "cosine": c, "toxic": int(ix.label[j])}
+                                   for j, c in ix.nearest(term[s], w[s], k, share[d - c0])]
                 row = first + np.arange(b - a)
                 none = pa.nulls(b - a, pa.binary())
                 yield pa.RecordBatch.from_arrays(

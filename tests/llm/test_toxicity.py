@@ -96,3 +96,21 @@ def test_every_term_of_every_text_counts(spark, docs_of):
         want = sorted((-sum(x * vec[j].get(t, 0) for t, x in vec[i].items()), j) for j in ids)[:5]
         assert np.allclose([-s for s, _ in want], [e.cosine for e in got[i].evidence], atol=1e-9)
     assert len(got) == len(texts) and all(len(r.evidence) == 5 for r in got.values())
+
+
+def test_matrix_and_postings_agree(monkeypatch):
+    rng = np.random.default_rng(5)
+    vocab, idf = np.arange(80, dtype=np.uint64), rng.uniform(1, 6, 80)
+
+    def vector():
+        t = np.sort(rng.choice(80, rng.integers(1, 20), replace=False))
+        return t, toxicity._weights(t, rng.integers(1, 5, len(t)), idf)
+    examples = [(j, j % 2, *vector()) for j in range(200)] + [(300 + j, 1, *vector()) for j in range(3)] * 2
+    queries, found = [vector() for _ in range(40)], []
+    for common in (0, 8, 10 ** 6):
+        monkeypatch.setattr(toxicity, "COMMON", common)
+        index = toxicity.Index(vocab, idf, examples)
+        found.append([index.nearest(t, w, 5) for t, w in queries])
+        assert (len(index.matrix) == 0) == (common == 0)
+    for own in found[1:]:
+        assert [[j for j, _ in n] for n in own] == [[j for j, _ in n] for n in found[0]]
