@@ -33,6 +33,8 @@ BINS = 32
 VALUES = 10_000
 #: (entry, tree) cells that a task holds at once
 CELLS = 1 << 20
+#: cells that are tried at once; these stay in a core's cache
+BLOCK = 1 << 16
 #: entries of a file of rows
 FILE_ENTRIES = 1 << 21
 #: gains below this are rounding
@@ -226,26 +228,31 @@ def _level_counts(sent, label: str, row: str, seed: int):
                 pair = np.flatnonzero((n > 0) & forest.open[at])
                 lens = np.diff(starts)[pair // forest.trees]
                 ends = np.cumsum(lens)
+                terms = ids.astype(np.uint64)
                 once = np.append(True, ids[1:] != ids[:-1])[:len(ids)]  # of a term that comes twice the first counts
                 once[starts[:-1][np.diff(starts) > 0]] = True
                 a = 0
                 while a < len(pair):
-                    z = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + CELLS, "right")))
+                    z = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + BLOCK, "right")))
                     p, m = pair[a:z], lens[a:z]
                     a = z
-                    node = at.ravel()[p]
-                    from_ = starts[p // forest.trees] - (np.cumsum(m) - m)
-                    entry = np.repeat(from_, m) + np.arange(m.sum())
-                    f = ids[entry].astype(np.uint64)
-                    mul, add = np.repeat(factor[node], m), np.repeat(shift[node], m)
-                    place = mul * f + add
-                    place -= place // prime * prime
-                    while len(over := np.flatnonzero(place >= size)):  # the walk goes on until it is at a term
-                        place[over] = (mul[over] * place[over] + add[over]) % prime
+                    node, upto = at.ravel()[p], np.cumsum(m)
+                    entry = np.repeat(starts[p // forest.trees] - (upto - m), m)
+                    entry += np.arange(len(entry))
+                    place = np.repeat(factor[node], m)
+                    place *= terms[entry]
+                    place += np.repeat(shift[node], m)
+                    rounds = place // prime
+                    rounds *= prime
+                    place -= rounds
+                    if len(place) and place.max() >= size:
+                        mul, add = np.repeat(factor[node], m), np.repeat(shift[node], m)
+                        while len(over := np.flatnonzero(place >= size)):  # the walk goes on until it is at a term
+                            place[over] = (mul[over] * place[over] + add[over]) % prime
                     hit = np.flatnonzero(place < forest.tried)
                     entry = entry[hit]
                     hit, entry = hit[once[entry]], entry[once[entry]]
-                    q = p[np.searchsorted(np.cumsum(m), hit, "right")]
+                    q = p[np.searchsorted(upto, hit, "right")]
                     codes.append(((at.ravel()[q] * size + ids[entry]) * 256 + bins[entry] + 128) * c + own[first + q // forest.trees])
                     counts.append(n.ravel()[q])
                     held += len(hit)
