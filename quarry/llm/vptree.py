@@ -7,14 +7,18 @@ and largest distance.  By the triangle inequality a half whose distances lie
 further than t from the query's own distance to the vantage point holds
 nothing nearer than t, the distance of the k-th best so far.  ``factor``
 relaxes this: a half is skipped when it is further than t / factor, so factor
-1 is exact search and larger factors skip more.  All queries of a block descend
-together; a node handles the queries that still need it at once.
-
-Trees are built once per shard and stored as bytes.  Blocks of queries meet
-every shard (a stated query set against all rows, in blocks); a pair of block
-and shard returns at most k candidates a query, and the k best over all shards
-follow from a window with a group limit.  Shard and block counts follow from
-the row counts, so a task's memory does not grow with the table.
+1 is exact search and larger factors skip more.  All queries of a block first
+go down to the leaf nearest to each; then every other node is visited once, by
+the queries that still need it.  A leaf compares unit vectors by a matrix
+product, and only where that comes near the best so far a pair's cosine is
+worked out.
+
+Vectors are dealt out in shards and every query goes to each of them; a task
+builds the trees of a few shards one after the other, and returns at most k
+candidates a query.  The k best over all shards follow from a window with a
+group limit.  The number of shards, and of turns in which very many queries
+are asked, follows from the row counts, so a task's memory does not grow with
+the table.  Neither vectors nor queries are broadcast.
 
 Defined results: vectors that are null, of another length than the most common
 one, of length zero, or hold null or non-finite components take no part, nor do
@@ -26,19 +30,20 @@ fewer rows.  Extra columns are ignored.
 
 from __future__ import annotations
 
-import pickle
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import materialize
-
 LEAF = 64
 #: a distance near zero is only known to about the root of the double precision
 SLACK = 1e-7
+#: cosines by matrix product are known to this
+NEAR = 1e-9
+#: shards beyond which a task takes more than one, and the most that it takes
+MANY, TOGETHER = 32, 4
+#: queries that a task holds at once
+TURN = 1 << 16
 
 
 class VPTree:
@@ -72,40 +77,54 @@ class VPTree:
             stack.append((own[near], start, at, 0))
         self.ids, self.vectors, self.unit = ids[self.order], vectors[self.order], unit[self.order]
 
-    def search(self, query_ids, queries, k: int, factor: float = 1.0):
-        """(cosine, id) arrays of shape (queries, k), best first; cosine -inf marks no candidate."""
+    def search(self, query_ids, queries, k: int, factor: float = 1.0, best=None):
+        """(cosine, id) arrays of shape (queries, k), best first; cosine -inf marks no candidate.
+        ``best``: such arrays from other trees, to go on with."""
         n = len(query_ids)
         unit = queries / np.linalg.norm(queries, axis=1, keepdims=True)
-        score = np.full((n, k), -np.inf)
-        found = np.full((n, k), np.iinfo(np.int64).max)
-        visited = 0
-        stack = [(0, np.arange(n), None)]
+        score, found = best or none(n, k)
+        self.visited = 0
+        home = np.full(n, -1)
+        stack = [(0, np.arange(n))]
+        while stack:
+            at, who = stack.pop()
+            start, end, point, edges, near, far = self.nodes[at]
+            if point is None:
+                home[who] = at
+                self._leaf(start, end, who, query_ids, queries, unit, score, found, k)
+                continue
+            to_near, to_far = self._gaps(point, edges, unit[who])
+            first_near = to_near <= to_far
+            for child, rows in ((near, first_near), (far, ~first_near)):
+                if rows.any():
+                    stack.append((child, who[rows]))
+        stack = [(0, np.arange(n), np.zeros(n))]
         while stack:
             at, who, bound = stack.pop()
-            if bound is not None:  # the best may have improved since the node was put aside
-                limit = distance(1 - np.maximum(score[who, -1], -1.0))
-                stay = (bound <= limit / factor + SLACK) | (score[who, -1] == -np.inf)
-                who = who[stay]
+            limit = distance(1 - np.maximum(score[who, -1], -1.0))  # the best may have improved since the node was put aside
+            who = who[((bound <= limit / factor + SLACK) | (score[who, -1] == -np.inf)) & (home[who] != at)]
             if not len(who):
                 continue
             start, end, point, edges, near, far = self.nodes[at]
             if point is None:
-                visited += len(who) * (end - start)
-                self._leaf(start, end, who, query_ids, queries, score, found, k)
+                self._leaf(start, end, who, query_ids, queries, unit, score, found, k)
                 continue
-            d = distance(1 - np.maximum(-1, np.minimum(1, unit[who] @ point)))
-            to_near = np.maximum(0, np.maximum(edges[0] - d, d - edges[1]))
-            to_far = np.maximum(0, np.maximum(edges[2] - d, d - edges[3]))
-            first_near = to_near <= to_far
-            # pushed last, popped first: each query's nearer half before its other half
-            for child, rows, gap in ((near, ~first_near, to_near), (far, first_near, to_far),
-                                     (far, ~first_near, to_far), (near, first_near, to_near)):
-                if rows.any():
-                    stack.append((child, who[rows], gap[rows]))
-        self.visited = visited
+            to_near, to_far = self._gaps(point, edges, unit[who])
+            stack += [(far, who, to_far), (near, who, to_near)]
         return score, found
 
-    def _leaf(self, start, end, who, query_ids, queries, score, found, k):
+    @staticmethod
+    def _gaps(point, edges, unit):
+        """How far both halves are at least."""
+        d = distance(1 - np.maximum(-1, np.minimum(1, unit @ point)))
+        return np.maximum(0, np.maximum(edges[0] - d, d - edges[1])), np.maximum(0, np.maximum(edges[2] - d, d - edges[3]))
+
+    def _leaf(self, start, end, who, query_ids, queries, unit, score, found, k):
+        self.visited += len(who) * (end - start)
+        # a query without a candidate that may be among its best is done
+        who = who[~(unit[who] @ self.unit[start:end].T < score[who, -1:] - NEAR).all(axis=1)]
+        if not len(who):
+            return
         c = cosine(queries[who], self.vectors[start:end])
         ids = np.broadcast_to(self.ids[start:end], c.shape)
         c = np.where(ids == query_ids[who][:, None], -np.inf, c)
@@ -116,6 +135,11 @@ class VPTree:
         found[who] = np.take_along_axis(all_i, best, axis=1)
 
 
+def none(n: int, k: int) -> tuple:
+    """No candidates yet, for n queries."""
+    return np.full((n, k), -np.inf), np.full((n, k), np.iinfo(np.int64).max)
+
+
 def distance(one_minus_cosine):
     return np.sqrt(np.maximum(0, 2 * one_minus_cosine))
 
@@ -142,41 +166,33 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, factor: float = 1.0, id_col: str = "vec_id",
-            vector_col: str = "embedding", shard_rows: int = 8192, block_rows: int = 512) -> DataFrame:
+            vector_col: str = "embedding", shard_rows: int = 8192, block_rows: int = 16384) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of every query."""
     v, q = usable(vectors, id_col, vector_col), usable(queries, id_col, vector_col)
     q = q.groupBy("id").agg(F.min("v").alias("v"))
     n, m = v.count(), q.count()
-    shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-m // block_rows))
-
-    def build(part: pd.DataFrame) -> pd.DataFrame:
-        tree = VPTree(part["id"].to_numpy(np.int64), _matrix(part["v"]))
-        return pd.DataFrame({"shard": [part["shard"].iloc[0]], "tree": [pickle.dumps(tree)]})
-
-    def gather(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("id", kind="stable")
-        return pd.DataFrame({"block": [part["block"].iloc[0]], "ids": [part["id"].to_numpy(np.int64).tobytes()],
-                             "qs": [_matrix(part["v"]).tobytes()]})
-
-    # every shard gets its number by a hash of the whole row, so copies of a vector spread out
-    trees = materialize(v.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
-                        .groupBy("shard").applyInPandas(build, "shard int, tree binary"), "vp-trees")
-    asked = materialize(q.withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int"))
-                        .groupBy("block").applyInPandas(gather, "block int, ids binary, qs binary"), "query-blocks")
-    tasks = (asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-             .repartition(min(shards * blocks, 2000), "shard", "block").join(trees, "shard"))
-
-    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for _, row in frame.iterrows():
-                tree: VPTree = pickle.loads(row["tree"])
-                ids = np.frombuffer(row["ids"], np.int64)
-                qs = np.frombuffer(row["qs"], np.float64).reshape(len(ids), -1)
-                score, found = tree.search(ids, qs, k, factor)
-                hit = np.isfinite(score)
-                yield pd.DataFrame({"query_id": np.repeat(ids, k)[hit.ravel()], "vec_id": found[hit],
-                                    "score": score[hit]})
+    shards = max(1, -(-n // shard_rows))
+    parts, turns = -(-shards // max(1, min(TOGETHER, shards // MANY))), max(1, -(-m // TURN))
+
+    def every(count: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+    held = (v.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
+            .withColumn("part", F.col("shard") % parts).withColumn("turn", every(turns)))
+    asked = q.withColumn("turn", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(turns)).cast("int")).withColumn("part", every(parts))
+
+    def search(held: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        ids, (score, found) = asked["id"].to_numpy(np.int64), none(len(asked), k)
+        qs = _matrix(asked["v"]) if len(asked) else None
+        for _, own in held.groupby("shard") if len(asked) else ():
+            tree = VPTree(own["id"].to_numpy(np.int64), _matrix(own["v"]))
+            for first in range(0, len(ids), block_rows):
+                b = slice(first, first + block_rows)
+                tree.search(ids[b], qs[b], k, factor, (score[b], found[b]))
+        hit = np.isfinite(score)
+        return pd.DataFrame({"query_id": np.repeat(ids, k)[hit.ravel()], "vec_id": found[hit], "score": score[hit]})
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (tasks.select("ids", "qs", "tree").mapInPandas(search, "query_id long, vec_id long, score double")
-            .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    found = (held.groupBy("turn", "part").cogroup(asked.groupBy("turn", "part"))
+             .applyInPandas(search, "query_id long, vec_id long, score double"))
+    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

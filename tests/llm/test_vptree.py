@@ -61,3 +61,26 @@ def test_many_shards_and_blocks(spark):
     one = vptree.nearest(df, q).orderBy("query_id", "rank").collect()
     many = vptree.nearest(df, q, shard_rows=40, block_rows=9).orderBy("query_id", "rank").collect()
     assert one == many and len(one) == 5 * q.count()
+
+
+def test_nothing_is_broadcast(spark):
+    """Every query meets every shard: Spark takes that table for a small one and sent it to the driver."""
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rng.normal(size=(300, 8)).tolist())], "vec_id long, embedding array<double>")
+    got = vptree.nearest(df, df, shard_rows=20, block_rows=7)
+    rows = got.collect()
+    assert len(rows) == 5 * 300 and "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shards_and_turns_together(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 4))
+    x[rng.random(400) < 0.2] = x[5]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    for name, value in (("MANY", 3), ("TOGETHER", 3), ("TURN", 11), ("LEAF", 5)):
+        monkeypatch.setattr(vptree, name, value)
+    got = {}
+    for r in vptree.nearest(df, df.where("vec_id % 8 = 0"), shard_rows=30, block_rows=4).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((-r.score, r.vec_id))
+    ids = np.arange(400)
+    assert got == {i: brute(ids, x, i, x[i], 5) for i in range(0, 400, 8)}
